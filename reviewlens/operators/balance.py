@@ -91,7 +91,7 @@ def attach_meta(plan: DataFrame, base: DataFrame, seed: int = 42, order: list[st
         base.select(*order, "place_name", "user_name"), order, "_position"
     ).select("_position", "place_name", "user_name")
     n = numbered.agg(F.count("*")).scalar()
-    drawn = draw(F.greatest(n, F.lit(1)), seed, "base", F.col("policy"), F.col("attempt")) + 1
+    drawn = draw(F.greatest(n, F.lit(1)), seed, "base", F.col("policy"), F.col("attempt"))
     fallback_user = F.concat(
         F.lit("user_"),
         (draw(9000, seed, "user", F.col("policy"), F.col("attempt")) + 1000).cast("string"),

@@ -47,14 +47,19 @@ def sample_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-def _label_entries():
-    def entry(label, truth, prob):
-        return F.struct(F.lit(label).alias("label"), truth.cast("int").alias("y_true"), prob.alias("base"))
+def _label_parts():
+    """(label, truth, base score) in label order."""
+    return [
+        ("irrelevant_content", F.col("l_linestatus") == "O", F.col("l_tax") * 12.5),
+        ("advertisement", F.col("l_returnflag") == "R", F.col("l_discount") * 10),
+        ("review_without_visit", F.col("l_quantity") > 25, F.col("l_quantity") / 50),
+    ]
 
+
+def _label_entries():
     return [
-        entry("irrelevant_content", F.col("l_linestatus") == "O", F.col("l_tax") * 12.5),
-        entry("advertisement", F.col("l_returnflag") == "R", F.col("l_discount") * 10),
-        entry("review_without_visit", F.col("l_quantity") > 25, F.col("l_quantity") / 50),
+        F.struct(F.lit(label).alias("label"), truth.cast("int").alias("y_true"), base.alias("base"))
+        for label, truth, base in _label_parts()
     ]
 
 
@@ -80,7 +85,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """(model, sample_id, probs) in label order."""
     models = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(s).alias("shift")) for n, s in MODELS])
-    bases = F.array(*[e["base"] for e in _label_entries()])
+    bases = F.array(*[base for _, _, base in _label_parts()])
     return (
         table(spark, sf, "lineitem")
         .select(sample_id().alias("sample_id"), bases.alias("_b"), F.inline(models))
@@ -97,9 +102,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 def truth(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(
         sample_id().alias("sample_id"),
-        (F.col("l_linestatus") == "O").cast("int").alias("irrelevant_content"),
-        (F.col("l_returnflag") == "R").cast("int").alias("advertisement"),
-        (F.col("l_quantity") > 25).cast("int").alias("review_without_visit"),
+        *[hit.cast("int").alias(label) for label, hit, _ in _label_parts()],
     )
 
 
