@@ -47,15 +47,14 @@ def eligible_reviews(df: DataFrame, seq: str = "seq", original_only: bool = True
 def embed(df: DataFrame, text: str = "text", dims: int = 256, gram: int = 2) -> DataFrame:
     """Adds ``vector``: unit-length counts of hashed tokens and token n-grams. Stays in the JVM."""
     words = df.withColumn("_words", tokens(text))
-    grams = [F.col("_words")]
+    grams, longer = [F.col("_words")], F.col("_words")
     for size in range(2, gram + 1):
-        starts = F.sequence(F.lit(1), F.greatest(F.size("_words") - (size - 1), F.lit(1)))
-        grams.append(
-            F.when(
-                F.size("_words") >= size,
-                F.transform(starts, lambda i, k=size: F.array_join(F.slice("_words", i, k), " ")),
-            ).otherwise(F.array().cast("array<string>"))
+        # each gram of the size before, followed by the word after it; the last ones have none
+        rest = F.slice("_words", F.lit(size), F.greatest(F.size("_words"), F.lit(1)))
+        longer = F.array_compact(
+            F.zip_with(longer, rest, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b)))
         )
+        grams.append(longer)
     words = words.withColumn("_grams", F.concat(*grams))
     counted = HashingTF(numFeatures=dims, inputCol="_grams", outputCol="_tf").transform(words)
     unit = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(counted)
@@ -130,7 +129,7 @@ def _sides(key: tuple, table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _neighbour_cell(topk: int, over: float, at_least: list[float]):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x, w = _matrix(table), table.column("w").to_numpy()
         parts = []
         for own, against in _sides(key, table):
@@ -259,7 +258,7 @@ def _roots(adjacent: np.ndarray, names: np.ndarray) -> np.ndarray:
 
 
 def _cluster_cell(thresholds: list[float]):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x, rep = _matrix(table), table.column("rep").to_numpy()
         inner = key[1].as_py() == key[2].as_py()
         own, against = _sides(key, table)[0]
@@ -563,7 +562,7 @@ def fuse_unmatched(text: DataFrame, scores: DataFrame, key: str = "seq") -> Data
 
 
 def _pair_cell(threshold: float):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x, rep, w = _matrix(table), table.column("rep").to_numpy(), table.column("w").to_numpy()
         own, against = _sides(key, table)[0]
         found = []

@@ -28,7 +28,14 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"').option("emptyValue", "")
+        # texts keep their outer white space
+        writer = writer.options(
+            header=True,
+            escape='"',
+            emptyValue="",
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
     writer.format(fmt).save(path)
 
 
