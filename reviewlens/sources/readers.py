@@ -24,10 +24,19 @@ def read_reviews_csv(
     )
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    store, target = _located(spark, path)
+    return store.exists(target)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    store, target = _located(spark, path)
+    return store.exists(target) and store.getFileStatus(target).isFile()
 
 
 def read_table(

@@ -1,3 +1,9 @@
-from reviewlens.streaming.moderation import dedup_stream, moderate, run_available, violation_counts
+from reviewlens.streaming.moderation import (
+    dedup_stream,
+    moderate,
+    run_available,
+    stream_table,
+    violation_counts,
+)
 
-__all__ = ["dedup_stream", "moderate", "run_available", "violation_counts"]
+__all__ = ["dedup_stream", "moderate", "run_available", "stream_table", "violation_counts"]

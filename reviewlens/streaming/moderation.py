@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlens.functions.policy import PolicyRule, annotate_rules, default_policies, flags_to_labels
 from reviewlens.functions.text import has_url, normalise_name, text_hash
 from reviewlens.operators.dashboard import risk
 from reviewlens.schemas import LABELS, POLICY_LABEL
+from reviewlens.sources.readers import is_file
 from reviewlens.sources.scratch import scratch_path
 
 
+def stream_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table as a stream, be it a folder or a single file."""
+    reader = spark.readStream.schema(schema)
+    if is_file(spark, path):
+        folder, name = path.rsplit("/", 1)
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
+
+
 def moderate(df: DataFrame, policies: list[PolicyRule] | None = None, threshold: float = 0.5) -> DataFrame:
     """Policy flags, URL flag and risk of each review. Stateless: batch and stream alike."""
     policies = policies or default_policies()
