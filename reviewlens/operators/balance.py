@@ -87,25 +87,20 @@ def plan_synthetic(
 def attach_meta(plan: DataFrame, base: DataFrame, seed: int = 42, order: list[str] | None = None) -> DataFrame:
     """Place and user of a drawn base row per planned row; fabricated where the base has none."""
     order = order or ["review_id"]
-    numbered = with_dense_ids(
-        base.select(*order, "place_name", "user_name"), order, "_position"
-    ).select("_position", "place_name", "user_name")
-    n = numbered.agg(F.count("*")).scalar()
-    drawn = draw(F.greatest(n, F.lit(1)), seed, "base", F.col("policy"), F.col("attempt"))
-    fallback_user = F.concat(
-        F.lit("user_"),
-        (draw(9000, seed, "user", F.col("policy"), F.col("attempt")) + 1000).cast("string"),
-    )
-    return (
-        plan.withColumn("_position", drawn)
-        .join(numbered, "_position", "left")
-        .drop("_position")
-        .withColumns(
-            {
-                "place_name": F.coalesce(F.nullif("place_name", F.lit("")), F.lit(FALLBACK_PLACE)),
-                "user_name": F.coalesce(F.nullif("user_name", F.lit("")), fallback_user),
-            }
-        )
+    number = (F.col("policy"), F.col("attempt"))
+    fallback_user = F.concat(F.lit("user_"), (draw(9000, seed, "user", *number) + 1000).cast("string"))
+    positions = with_dense_ids(base.select(*order, "place_name", "user_name"), order, "_position")
+    positions = positions.select("_position", "place_name", "user_name")
+    n = positions.count()
+    if n == 0:
+        return plan.withColumns({"place_name": F.lit(FALLBACK_PLACE), "user_name": fallback_user})
+    # every drawn position exists, so this is an inner join and may broadcast the plan if it is small
+    met = plan.withColumn("_position", draw(n, seed, "base", *number)).join(positions, "_position")
+    return met.drop("_position").withColumns(
+        {
+            "place_name": F.coalesce(F.nullif("place_name", F.lit("")), F.lit(FALLBACK_PLACE)),
+            "user_name": F.coalesce(F.nullif("user_name", F.lit("")), fallback_user),
+        }
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.operators.ordered import join_heavy
-from reviewlens.sources.scratch import checkpoint
+from reviewlens.sources.scratch import materialise
 
 
 def _star(directed: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ``edges`` has columns u and v. Rounds grow with the logarithm of the longest path. Only a row
     count and a checksum reach the driver.
     """
-    current = checkpoint(
+    current = materialise(
         edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
     seen = _digest(current)
@@ -38,7 +38,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = large.filter("u != v").distinct()
         # every edge now points down, so u's neighbours are all smaller
         small = _star(large)
-        current = checkpoint(
+        current = materialise(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(small.select("u", F.col("m").alias("v")))
             .filter("u != v")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from reviewlens.functions.text import label_vector, model_family, threshold_probs
 from reviewlens.operators.ordered import with_running_sums
 from reviewlens.schemas import LABELS
+from reviewlens.sources.scratch import materialise
 
 KEYS = ["model", "label"]
 
@@ -43,6 +44,21 @@ def confusion(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
+def _confusion(steps: DataFrame, threshold: float) -> DataFrame:
+    """The same counts from rows already counted per score."""
+    hit, negatives = F.col("prob") >= threshold, F.col("n") - F.col("pos")
+
+    def total(c: Column, test: Column) -> Column:
+        return F.sum(F.when(test, c).otherwise(0))
+
+    return steps.groupBy(*KEYS).agg(
+        total(negatives, ~hit).alias("tn"),
+        total(negatives, hit).alias("fp"),
+        total(F.col("pos"), ~hit).alias("fn"),
+        total(F.col("pos"), hit).alias("tp"),
+    )
+
+
 def per_label(counts: DataFrame) -> DataFrame:
     """Precision, recall and F1 from confusion counts; 0 where undefined."""
     return counts.withColumns(prf(F.col("tp"), F.col("fp"), F.col("fn")))
@@ -74,8 +90,12 @@ def score_counts(scored: DataFrame) -> DataFrame:
 
 def average_precision(scored: DataFrame) -> DataFrame:
     """Area under the precision-recall steps, tied scores as one step; 0 with no positive."""
-    steps = score_counts(scored).withColumn("_down", -F.col("prob"))
-    upto = with_running_sums(steps, KEYS, ["_down"], {"cum_pos": "pos", "cum_n": "n"})
+    return _average_precision(score_counts(scored))
+
+
+def _average_precision(steps: DataFrame) -> DataFrame:
+    down = steps.withColumn("_down", -F.col("prob"))
+    upto = with_running_sums(down, KEYS, ["_down"], {"cum_pos": "pos", "cum_n": "n"})
     gained = F.col("pos") * F.col("cum_pos") / F.col("cum_n")
     return upto.groupBy(*KEYS).agg(ratio(F.sum(gained), F.sum("pos")).alias("ap"))
 
@@ -168,13 +188,18 @@ def report(
 
     ``compat_fixed_half`` cuts the per-label precision/recall/F1 at 0.5 whatever the threshold.
     """
-    counts = confusion(scored, threshold)
-    cut = confusion(scored, 0.5) if compat_fixed_half else counts
+    # one pass over the rows; everything else works on counts per score
+    steps = materialise(score_counts(scored), "steps")
+    counts = _confusion(steps, threshold)
+    cut = _confusion(steps, 0.5) if compat_fixed_half else counts
     metrics = per_label(cut).select(*KEYS, "precision", "recall", "f1")
+    own = per_label(counts).select(
+        *KEYS, "tn", "fp", "fn", "tp", *[F.col(c).alias(f"own_{c}") for c in ("precision", "recall", "f1")]
+    )
     # a row per (model, label) on every side of these joins
     wide = (
-        counts.join(metrics, KEYS)
-        .join(average_precision(scored), KEYS)
+        own.join(metrics, KEYS)
+        .join(_average_precision(steps), KEYS)
         .withColumns(
             {"support": F.col("tp") + F.col("fn"), "n": F.col("tp") + F.col("fn") + F.col("fp") + F.col("tn")}
         )
@@ -186,10 +211,7 @@ def report(
         ).alias("m"),
     )
     pooled = prf(F.sum("tp"), F.sum("fp"), F.sum("fn"))
-    own = per_label(counts).select(
-        *KEYS, *[F.col(c).alias(f"own_{c}") for c in ("precision", "recall", "f1")]
-    )
-    grouped = wide.join(own, KEYS).groupBy("model").agg(
+    grouped = wide.groupBy("model").agg(
         F.max("n").alias("n_samples"),
         F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("per_label"),
         F.struct(*[F.avg(f"own_{c}").alias(c) for c in ("precision", "recall", "f1")]).alias("macro"),

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlens.sources.scratch import checkpoint
+from reviewlens.sources.scratch import materialise
 
 SLICE = "_slice"
 
@@ -37,7 +37,7 @@ def with_running_sums(
     """
     n = slices or shuffle_partitions(df)
     sliced = df.repartitionByRange(n, *keys, *order).withColumn(SLICE, F.spark_partition_id())
-    sliced = checkpoint(sliced)
+    sliced = materialise(sliced)
     before = Window.partitionBy(*keys, F.lit(0)).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     # at most one row per slice and key change
     offsets = (
@@ -112,26 +112,35 @@ def join_heavy(
     spread: str,
     how: str = "inner",
     share: int = 2000,
+    floor: int = 1_000_000,
 ) -> DataFrame:
     """Equi-join where a few keys may hold most of ``left``.
 
-    ``right`` has one row per key and says in ``weight`` how many left rows its key has. A key with
-    more than 1/share of them is cut into pieces of that size: left rows pick a piece by the hash of
-    ``spread``, the right row is repeated once per piece. There are at most ``share`` such keys and
-    2 * ``share`` pieces, which bounds both the broadcast of the piece counts and the repetition.
+    ``right`` has one row per key and says in ``weight`` how many left rows its key has. A piece is
+    1/share of all left rows, at least ``floor``. A key with more than that is cut: its left rows pick
+    a piece by the hash of ``spread``, its right row is repeated once per piece. At most ``share`` keys
+    can be that heavy, and together they have at most 2 * ``share`` pieces; this bounds the broadcast
+    of the piece counts and the repetition. With no such key this is a plain join.
     ``weight`` is dropped. ``how`` is inner or left; null keys do not match.
     """
-    limit = right.agg((F.sum(weight) / F.lit(float(share))).alias("t")).scalar()
-    cut = right.withColumn("_pieces", F.greatest(F.lit(1), F.ceil(F.col(weight) / limit)).cast("int"))
+    right = materialise(right, "right")
+    total, most = right.agg(F.sum(weight), F.max(weight)).first()
+    piece_rows = max((total or 0) / share, floor)
+    if (most or 0) <= piece_rows:
+        return left.join(right.drop(weight), keys, how)
+    cut = right.withColumn("_pieces", F.ceil(F.col(weight) / piece_rows).cast("int"))
     heavy = cut.filter("_pieces > 1").select(*keys, "_pieces")
     piece = F.pmod(F.xxhash64(spread), F.col("_pieces").cast("long")).cast("int")
     salted = left.join(F.broadcast(heavy), keys, "left").withColumn(
         "_piece", F.coalesce(piece, F.lit(0))
     )
-    repeated = cut.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-    return salted.drop("_pieces").join(
-        repeated.drop("_pieces", weight), [*keys, "_piece"], how
-    ).drop("_piece")
+    last = F.greatest(F.col("_pieces"), F.lit(1)) - 1
+    repeated = cut.withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
+    return (
+        salted.drop("_pieces")
+        .join(repeated.drop("_pieces", weight), [*keys, "_piece"], how)
+        .drop("_piece")
+    )
 
 
 def any_of(tests: list[Column]) -> Column:

@@ -23,12 +23,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewlens.functions.text import business_key, is_blank, text_or_empty, tokens
 from reviewlens.operators.components import connected_components
 from reviewlens.operators.ordered import join_heavy
 from reviewlens.schemas import FuseConfig, ScanConfig
-from reviewlens.sources.scratch import checkpoint
+from reviewlens.sources.scratch import materialise
 
 CHUNK = 1024
 
@@ -76,7 +77,7 @@ def embed_with(df: DataFrame, make_embedder, text: str = "text") -> DataFrame:
             size = np.linalg.norm(found, axis=1, keepdims=True)
             yield batch.assign(vector=list(found / np.where(size > 0, size, 1)))
 
-    schema = df.schema.add("vector", "array<float>")
+    schema = T.StructType([*df.schema.fields, T.StructField("vector", T.ArrayType(T.FloatType()))])
     return df.mapInPandas(run, schema)
 
 
@@ -101,7 +102,7 @@ def block_vectors(vec: DataFrame, block_rows: int, min_reviews: int = 1) -> Data
     )
     placed = join_heavy(distinct, sizes, ["business"], "m", "rep")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
-    return checkpoint(placed.withColumn("block", block))
+    return materialise(placed.withColumn("block", block))
 
 
 def _cells(rows: DataFrame) -> DataFrame:
@@ -191,7 +192,7 @@ def neighbours(blocks: DataFrame, topk: int, over: float, at_least: list[float])
         f" over bigint{levels}"
     )
     cells = _cells(blocks.select("business", "rep", "w", "n", "vector", "block", "blocks"))
-    return checkpoint(
+    return materialise(
         cells.groupBy("business", "cell_a", "cell_b").applyInArrow(
             _neighbour_cell(topk, over, at_least), schema
         )
@@ -240,56 +241,63 @@ def dup_rate(near: DataFrame) -> DataFrame:
 # ---- density clusters -------------------------------------------------------------------------
 
 
-def _roots(adjacent: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Smallest name reachable from each node."""
-    root = np.full(len(names), -1, dtype=np.int64)
-    for start in np.argsort(names):
-        if root[start] >= 0:
+def _roots(close: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest name in the component of each left and right node, given which of them are close."""
+    left_root, right_root = left.copy(), right.copy()
+    done = np.zeros(len(left), dtype=bool)
+    for start in range(len(left)):
+        if done[start]:
             continue
-        member = np.zeros(len(names), dtype=bool)
-        member[start] = True
+        in_left, in_right = np.zeros(len(left), dtype=bool), np.zeros(len(right), dtype=bool)
+        in_left[start] = True
         frontier = np.array([start])
         while len(frontier):
-            reached = adjacent[frontier].any(axis=0) & ~member
-            member |= reached
-            frontier = np.flatnonzero(reached)
-        root[member] = start
-    return names[root] if len(names) else names
+            across = np.flatnonzero(close[frontier].any(axis=0) & ~in_right)
+            in_right[across] = True
+            back = close[:, across].any(axis=1) & ~in_left
+            in_left |= back
+            frontier = np.flatnonzero(back)
+        low = min(left[in_left].min(), right[in_right].min(initial=left[start]))
+        left_root[in_left], right_root[in_right] = low, low
+        done |= in_left
+    return left_root, right_root
 
 
 def _cluster_cell(thresholds: list[float]):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         x, rep = _matrix(table), table.column("rep").to_numpy()
-        inner = key[1].as_py() == key[2].as_py()
         own, against = _sides(key, table)[0]
+        inner = own is against
         found = []
         for level, threshold in enumerate(thresholds):
             core = table.column(f"core_{level}").to_numpy(zero_copy_only=False)
-            adjacent = np.zeros((len(rep), len(rep)), dtype=bool)
+            close = np.empty((len(own), len(against)), dtype=bool)
             for start in range(0, len(own), CHUNK):
-                rows = own[start : start + CHUNK]
-                close = x[rows] @ x[against].T >= threshold
-                adjacent[np.ix_(rows, against)] = close
-                if not inner:
-                    adjacent[np.ix_(against, rows)] = close.T
-            cores = np.flatnonzero(core)
-            root = _roots(adjacent[np.ix_(cores, cores)], rep[cores])
-            # outside its own block's cell a lone core says nothing new
-            told = np.ones(len(cores), dtype=bool) if inner else root != rep[cores]
-            found.append((rep[cores][told], root[told], np.full(told.sum(), True), level))
-            rest = np.flatnonzero(~core)
-            at, to = np.nonzero(adjacent[np.ix_(rest, cores)])
-            border = np.unique(np.stack([rep[rest][at], root[to]]), axis=1)
-            found.append((border[0], border[1], np.full(border.shape[1], False), level))
-        n = sum(len(f[0]) for f in found)
-        business = table.column("business")[0]
+                close[start : start + CHUNK] = x[own[start : start + CHUNK]] @ x[against].T >= threshold
+            if inner:
+                np.fill_diagonal(close, True)
+            a, b = core[own], core[against]
+            names = rep[own], rep[against]
+            linked = close[np.ix_(a, b)]
+            roots = _roots(linked, names[0][a], names[1][b])
+            # outside its own block's cell a core without core neighbours says nothing new
+            met = (linked.any(axis=1), linked.any(axis=0))
+            for side, cores, others, near in ((0, a, b, close), (1, b, a, close.T)):
+                if inner and side:
+                    break
+                told = met[side]
+                found.append((names[side][cores][told], roots[side][told], True, level))
+                at, to = np.nonzero(near[np.ix_(~cores, others)])
+                border = np.unique(np.stack([names[side][~cores][at], roots[1 - side][to]]), axis=1)
+                found.append((border[0], border[1], False, level))
+        size = [len(f[0]) for f in found]
         return pa.table(
             {
-                "business": pa.repeat(business, n),
+                "business": pa.repeat(table.column("business")[0], sum(size)),
                 "rep": pa.array(np.concatenate([f[0] for f in found])),
                 "root": pa.array(np.concatenate([f[1] for f in found])),
-                "core": pa.array(np.concatenate([f[2] for f in found])),
-                "level": pa.array(np.concatenate([np.full(len(f[0]), f[3], dtype=np.int32) for f in found])),
+                "core": pa.array(np.repeat([f[2] for f in found], size)),
+                "level": pa.array(np.repeat(np.array([f[3] for f in found], dtype=np.int32), size)),
             }
         )
 
@@ -321,49 +329,54 @@ def density_clusters(
         touched.drop("_most"), ["business", "rep"]
     )
     kind = blocks.schema["business"].dataType.simpleString()
-    links = checkpoint(
+    links = materialise(
         _cells(rows)
         .groupBy("business", "cell_a", "cell_b")
         .applyInArrow(
             _cluster_cell(list(thresholds)),
             f"business {kind}, rep bigint, root bigint, core boolean, level int",
-        )
+        ),
+        "links",
     )
-    return _merge_roots(links)
+    keys = ["business", "level", "rep"]
+    cores = links.filter("core").groupBy(*keys).agg(F.min("root").alias("root"))
+    borders = links.filter("NOT core").select(*keys, "root")
+    if blocks.filter("blocks > 1").isEmpty():
+        # one cell per business: its roots are final
+        named = cores.unionByName(borders).withColumnRenamed("root", "cluster")
+    else:
+        named = _across_cells(links, cores, borders)
+    return named.groupBy(*keys).agg(F.min("cluster").alias("cluster"))
 
 
-def _merge_roots(links: DataFrame) -> DataFrame:
-    keys = ["business", "level"]
-    cores = links.filter("core").groupBy(*keys, "rep").agg(F.min("root").alias("root"))
-    rest = links.filter("NOT core").select(*keys, "rep", "root")
-    # a core met in several cells ties their roots together
-    per_core = Window.partitionBy(*keys, "rep")
+def _across_cells(links: DataFrame, cores: DataFrame, borders: DataFrame) -> DataFrame:
+    """Clusters of businesses of several blocks: a core met in several cells ties their roots together."""
+    per_core = Window.partitionBy("level", "rep")
     tied = (
         links.filter("core")
         .select("level", F.col("root").alias("u"), F.min("root").over(per_core).alias("v"))
         .filter("u != v")
         .distinct()
     )
-    every = cores.unionByName(rest)
-    tied = checkpoint(tied)
-    if tied.isEmpty():
-        named = every.withColumn("cluster", F.col("root"))
-    else:
-        # levels share vertex names; (rep, level) packs into one number
-        packed = tied.select(
-            *[(F.col(c) * 2 + F.col("level")).cast("long").alias(c) for c in ("u", "v")]
-        )
-        merged = connected_components(packed).select(
-            F.floor(F.col("vertex") / 2).cast("long").alias("root"),
-            F.pmod(F.col("vertex"), F.lit(2)).cast("int").alias("level"),
-            F.floor(F.col("component") / 2).cast("long").alias("_to"),
-        )
-        held = every.groupBy("level", "root").agg(F.count("*").alias("_held"))
-        merged = held.join(merged, ["level", "root"], "left")
-        named = join_heavy(every, merged, ["level", "root"], "_held", "rep").withColumn(
-            "cluster", F.coalesce("_to", "root")
-        )
-    return named.groupBy(*keys, "rep").agg(F.min("cluster").alias("cluster"))
+    # levels share vertex names, so (name, level) packs into one number
+    packed = tied.select(*[(F.col(c) * 2 + F.col("level")).cast("long").alias(c) for c in ("u", "v")])
+    merged = connected_components(packed).select(
+        F.shiftright("vertex", 1).alias("root"),
+        F.pmod("vertex", F.lit(2)).cast("int").alias("level"),
+        F.shiftright("component", 1).alias("_to"),
+    )
+    held = cores.groupBy("level", "root").agg(F.count("*").alias("_held"))
+    named = (
+        join_heavy(cores, held.join(merged, ["level", "root"], "left"), ["level", "root"], "_held", "rep")
+        .withColumn("cluster", F.coalesce("_to", "root"))
+        .drop("_to", "root")
+    )
+    named = materialise(named, "cores")
+    # a border review follows the cores it is next to; its root is itself a core
+    next_to = borders.groupBy("level", "root").agg(F.count("*").alias("_held"))
+    target = next_to.join(named.select("level", F.col("rep").alias("root"), "cluster"), ["level", "root"])
+    followed = join_heavy(borders, target, ["level", "root"], "_held", "rep").drop("root")
+    return named.unionByName(followed)
 
 
 def dot(a: Column | str, b: Column | str) -> Column:

@@ -395,8 +395,8 @@ def assignment(spark, sf):
 )
 def errors(spark, sf):
     sized = split.group_sizes(businesses(spark, sf), "business")
-    assigned = split.trial_assignments(sized, "business")
-    found = split.trial_errors(assigned, sized.agg(F.sum("size")).scalar())
+    total = split.total_size(sized)
+    found = split.trial_errors(split.trial_assignments(sized, "business", total), total)
     return found.withColumn("err", F.col("err").cast("double"))
 
 

@@ -110,7 +110,7 @@ class ScanConfig:
     high_sim_threshold: float = 0.92
     min_cluster_size: int = 3
     overall_threshold: float = 0.82
-    block_rows: int = 4096
+    block_rows: int = 8192
 
 
 @dataclass(frozen=True)
@@ -123,4 +123,4 @@ class FuseConfig:
     dup_threshold: float = 0.92
     w_text: float = 0.7
     w_fraud: float = 0.3
-    block_rows: int = 4096
+    block_rows: int = 8192

@@ -29,7 +29,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that losing executors loses nothing."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint()
+def materialise(df: DataFrame, name: str = "frame") -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    Cuts the lineage, so that losing executors loses nothing; several consumers share one computation;
+    and the planner knows the size of what it joins.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
