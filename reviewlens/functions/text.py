@@ -14,7 +14,7 @@ SPACE = (
     r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 # Word run, or one sign that is neither word nor space.
-TOKEN = rf"[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{SPACE}]"
+TOKEN = rf"[\p{{L}}\p{{N}}_]++|[^\p{{L}}\p{{N}}_{SPACE}]"
 
 # System prompt of the chat form.
 CHAT_SYSTEM = (
@@ -67,7 +67,7 @@ def has_photo(c: Column | str) -> Column:
 
 
 def word_count(c: Column | str) -> Column:
-    return F.size(F.filter(F.split(col(c), f"[{SPACE}]+"), lambda w: w != ""))
+    return F.regexp_count(col(c), F.lit(f"[^{SPACE}]++"))
 
 
 def short_text(c: Column | str, limit: int = 10) -> Column:
@@ -245,7 +245,7 @@ def candidate_list(
 
 
 def tokens(c: Column | str) -> Column:
-    return F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(f"({TOKEN})"), F.lit(1))
+    return F.regexp_extract_all(F.lower(text_or_empty(c)), F.lit(TOKEN), F.lit(0))
 
 
 def model_text(flags: bool = False) -> Column:

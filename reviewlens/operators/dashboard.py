@@ -185,40 +185,48 @@ def violation_severity(reports: DataFrame) -> DataFrame:
 
 
 def risk(rows: DataFrame, threshold: float, labels: list[str], high: float = 0.8) -> DataFrame:
-    """Risk level, categories and recommendation per row of ``probs`` (in label order)."""
-    entries = F.arrays_zip(
-        F.array(*[F.lit(name) for name in labels]).alias("label"), F.col("probs").alias("prob")
-    )
+    """Risk level, categories and recommendation per row of ``probs`` (in label order).
+
+    The labels are known here, so every step is a plain expression over one probability each, which
+    stays in generated code; functions over arrays would not.
+    """
+    probs = {name: F.get("probs", F.lit(i)) for i, name in enumerate(labels)}
+    titles = {name: title_label(F.lit(name)) for name in labels}
+    nothing = F.array().cast("array<string>")
 
     def named(test) -> Column:
-        return F.transform(F.filter(entries, test), lambda e: title_label(e["label"]))
+        """Titles of the labels passing the test, in label order."""
+        return F.concat(*[F.when(test(p), F.array(titles[n])).otherwise(nothing) for n, p in probs.items()])
 
-    hits = named(lambda e: e["prob"] >= threshold)
-    highs = named(lambda e: e["prob"] >= high)
-    mediums = named(lambda e: (e["prob"] >= threshold) & (e["prob"] < high))
-    level = F.when(F.size("high_risk") > 0, "High").when(F.size("medium_risk") > 0, "Medium").otherwise("Low")
-    top = F.greatest(F.coalesce(F.array_max("probs"), F.lit(0.0)), F.lit(0.0))
-    shown = F.format_string("%.1f", F.col("confidence") * 100)
+    def some(test) -> Column:
+        return reduce(lambda a, b: a | b, [F.coalesce(test(p), F.lit(False)) for p in probs.values()])
+
+    hit, very = (lambda p: p >= threshold), (lambda p: p >= high)
+    between = lambda p: (p >= threshold) & (p < high)
+    violations = sum((F.coalesce(hit(p), F.lit(False)).cast("int") for p in probs.values()), F.lit(0))
+    category = F.concat_ws(", ", *[F.when(hit(p), titles[n]) for n, p in probs.items()])
+    level = F.when(some(very), "High").when(some(between), "Medium").otherwise("Low")
     lead = F.when(F.col("violations") == 0, F.lit(f"No labels exceeded threshold {threshold:g}. ")).otherwise(
         F.concat(F.col("violations").cast("string"), F.lit(f" label(s) exceeded threshold {threshold:g}. "))
     )
-    category = F.when(F.size("_hits") == 0, "Relevant").otherwise(F.array_join("_hits", ", "))
-    return (
-        rows.withColumns(
-            {"_hits": hits, "high_risk": highs, "medium_risk": mediums, "confidence": top}
-        )
-        .withColumns({"violations": F.size("_hits"), "risk_level": level, "category": category})
-        .withColumns(
-            {
-                "explanation": F.concat(lead, F.lit("Highest probability "), shown, F.lit("%.")),
-                "recommendation": reduce(
-                    lambda acc, kv: acc.when(F.col("risk_level") == kv[0], F.lit(kv[1])),
-                    list(RECOMMENDATION.items())[1:],
-                    F.when(F.col("risk_level") == "High", F.lit(RECOMMENDATION["High"])),
-                ),
-            }
-        )
-        .drop("_hits")
+    shown = F.format_string("%.1f", F.col("confidence") * 100)
+    advice = F.when(F.col("risk_level") == "High", RECOMMENDATION["High"])
+    for other in ("Medium", "Low"):
+        advice = advice.when(F.col("risk_level") == other, RECOMMENDATION[other])
+    return rows.withColumns(
+        {
+            "high_risk": named(very),
+            "medium_risk": named(between),
+            "confidence": F.greatest(F.lit(0.0), *probs.values()),
+            "violations": violations,
+            "risk_level": level,
+            "category": F.when(violations == 0, "Relevant").otherwise(category),
+        }
+    ).withColumns(
+        {
+            "explanation": F.concat(lead, F.lit("Highest probability "), shown, F.lit("%.")),
+            "recommendation": advice,
+        }
     )
 
 

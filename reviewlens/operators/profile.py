@@ -181,13 +181,20 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
             )
         ).alias("_x")
     ).select("_x.*")
-    plain = long.groupBy("column_name").agg(
-        F.count("v").alias("n"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
+    moments = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(c).alias("n"),
+                F.avg(c).alias("mean"),
+                F.stddev_samp(c).alias("std"),
+                F.min(c).cast("double").alias("min"),
+                F.max(c).cast("double").alias("max"),
+            )
+            for c in columns
+        ]
     )
+    plain = df.agg(moments.alias("_m")).select(F.inline("_m"))
     quartiles = exact_quantiles(long, ["column_name"], "v", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     return plain.join(quartiles, "column_name", "left")
 

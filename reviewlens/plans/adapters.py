@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.functions.policy import Vocabulary, default_policies
+from reviewlens.schemas import LABELS
 
 # Words that occur in the invented prose of the test tables.
 TEST_VOCABULARY = Vocabulary(
@@ -47,6 +48,10 @@ def sample_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def clipped(base: str):
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col(base) + F.col("shift")))
+
+
 def _label_parts():
     """(label, truth, base score) in label order."""
     return [
@@ -77,7 +82,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
             "sample_id",
             "label",
             "y_true",
-            F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("base") + F.col("shift"))).alias("prob"),
+            clipped("base").alias("prob"),
         )
     )
 
@@ -85,17 +90,11 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """(model, sample_id, probs) in label order."""
     models = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(s).alias("shift")) for n, s in MODELS])
-    bases = F.array(*[base for _, _, base in _label_parts()])
+    bases = [base.alias(label) for label, _, base in _label_parts()]
     return (
         table(spark, sf, "lineitem")
-        .select(sample_id().alias("sample_id"), bases.alias("_b"), F.inline(models))
-        .select(
-            "model",
-            "sample_id",
-            F.transform(
-                "_b", lambda b: F.least(F.lit(1.0), F.greatest(F.lit(0.0), b + F.col("shift")))
-            ).alias("probs"),
-        )
+        .select(sample_id().alias("sample_id"), *bases, F.inline(models))
+        .select("model", "sample_id", F.array(*[clipped(label) for label in LABELS]).alias("probs"))
     )
 
 

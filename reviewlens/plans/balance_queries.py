@@ -395,8 +395,7 @@ def assignment(spark, sf):
 )
 def errors(spark, sf):
     sized = split.group_sizes(businesses(spark, sf), "business")
-    total = split.total_size(sized)
-    found = split.trial_errors(split.trial_assignments(sized, "business", total), total)
+    found = split.trial_errors(sized, "business", split.total_size(sized))
     return found.withColumn("err", F.col("err").cast("double"))
 
 

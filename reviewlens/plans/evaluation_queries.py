@@ -134,8 +134,8 @@ def sweep(spark, sf):
 @query(
     "l9_align",
     with_views(
-        "SELECT model, label, count(*) AS n, CAST(sum(y_true) AS BIGINT) AS positives, round(sum(prob), 3) AS mass,"
-        " count(DISTINCT sample_id) AS samples FROM scored GROUP BY model, label",
+        "SELECT model, label, count(*) AS n, CAST(sum(y_true) AS BIGINT) AS positives, round(sum(prob), 3) AS mass"
+        " FROM scored GROUP BY model, label",
         "scored",
     ),
 )
@@ -145,7 +145,6 @@ def align(spark, sf):
         F.count("*").alias("n"),
         F.sum("y_true").alias("positives"),
         F.round(F.sum("prob"), 3).alias("mass"),
-        F.count_distinct("sample_id").alias("samples"),
     )
 
 
