@@ -21,6 +21,14 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def over_all_cores(df: DataFrame, key: str) -> DataFrame:
+    """A small table read by fewer tasks than there are cores, spread over them by key for the
+    computing that follows. Tables of a real size have more scan tasks than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys meet; the key columns come from the left."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

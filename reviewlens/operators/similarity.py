@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from reviewlens.functions.text import business_key, is_blank, text_or_empty, tokens
 from reviewlens.operators.components import connected_components
-from reviewlens.operators.ordered import join_heavy
+from reviewlens.operators.ordered import join_heavy, shuffle_partitions
 from reviewlens.schemas import FuseConfig, ScanConfig
 from reviewlens.sources.scratch import materialise
 
@@ -108,9 +108,11 @@ def block_vectors(vec: DataFrame, block_rows: int, min_reviews: int = 1) -> Data
 def _cells(rows: DataFrame) -> DataFrame:
     """Each row once per cell its block takes part in."""
     other = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return other.withColumns(
+    cells = other.withColumns(
         {"cell_a": F.least("block", "_other"), "cell_b": F.greatest("block", "_other")}
     ).drop("_other", "blocks")
+    # a stated number of partitions: few bytes are much work here, so they must not be coalesced
+    return cells.repartition(shuffle_partitions(rows), "business", "cell_a", "cell_b")
 
 
 def _matrix(table: pa.Table) -> np.ndarray:

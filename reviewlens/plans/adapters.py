@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.functions.policy import Vocabulary, default_policies
+from reviewlens.operators.ordered import over_all_cores
 from reviewlens.schemas import LABELS
 
 # Words that occur in the invented prose of the test tables.
@@ -22,7 +23,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    return docs.join(labels, "doc_id", "left").select(
+    return over_all_cores(docs, "doc_id").join(labels, "doc_id", "left").select(
         F.col("doc_id").alias("seq"),
         F.concat(F.lit("Biz "), "source", F.lit("-"), "lang").alias("business_name"),
         F.concat(F.lit("User "), (F.col("doc_id") % 97).cast("string")).alias("author_name"),
@@ -74,7 +75,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
         *[F.struct(F.lit(n).alias("model"), F.lit(s).alias("shift")) for n, s in MODELS]
     )
     return (
-        table(spark, sf, "lineitem")
+        over_all_cores(table(spark, sf, "lineitem"), "l_orderkey")
         .select(sample_id().alias("sample_id"), F.inline(F.array(*_label_entries())))
         .select("*", F.inline(models))
         .select(
@@ -92,7 +93,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     models = F.array(*[F.struct(F.lit(n).alias("model"), F.lit(s).alias("shift")) for n, s in MODELS])
     bases = [base.alias(label) for label, _, base in _label_parts()]
     return (
-        table(spark, sf, "lineitem")
+        over_all_cores(table(spark, sf, "lineitem"), "l_orderkey")
         .select(sample_id().alias("sample_id"), *bases, F.inline(models))
         .select("model", "sample_id", F.array(*[clipped(label) for label in LABELS]).alias("probs"))
     )
