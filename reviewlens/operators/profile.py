@@ -15,7 +15,7 @@ from reviewlens.functions.text import (
     text_hash,
     word_count,
 )
-from reviewlens.operators.ordered import any_of, exact_quantiles, null_safe
+from reviewlens.operators.ordered import any_of, exact_quantiles, join_heavy, null_safe
 from reviewlens.schemas import METADATA, REQUIRED_RAW, SYNTHETIC_METADATA
 
 
@@ -294,6 +294,21 @@ def sample_rows(df: DataFrame, n: int = 5, order: list[str] | None = None) -> Da
     return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
+def with_image_presence(
+    df: DataFrame, listing: DataFrame, photo: str = "photo", file_name: str = "file_name", seq: str = "seq"
+) -> DataFrame:
+    """``has_image`` is true where the photo's file is listed; no photo means no image."""
+    wanted = F.element_at(F.split(F.col(photo), "/"), -1)
+    # rows without a photo get keys that are no file names, so that they do not meet in one task
+    nowhere = F.concat(F.lit("/"), F.pmod(F.xxhash64(seq), F.lit(1 << 20)).cast("string"))
+    keyed = df.withColumn("_file", F.when(F.coalesce(F.col(photo), F.lit("")) != "", wanted).otherwise(nowhere))
+    # one picture may be shown by a great many rows
+    shown = keyed.groupBy("_file").agg(F.count("*").alias("_shown"))
+    names = listing.select(F.col(file_name).alias("_file")).distinct().withColumn("_hit", F.lit(True))
+    met = join_heavy(keyed, shown.join(names, "_file", "left"), ["_file"], "_shown", seq, "left")
+    return met.withColumn("has_image", F.col("_hit").isNotNull()).drop("_file", "_hit")
+
+
 def image_stats(df: DataFrame) -> DataFrame:
     """Photos found in the listing, and reviews without one."""
     return df.agg(

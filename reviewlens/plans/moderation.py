@@ -9,6 +9,7 @@ from reviewlens.functions.policy import PolicyRule, annotate_rules, default_poli
 from reviewlens.functions.text import business_key
 from reviewlens.operators import balance, profile, split
 from reviewlens.plans.adapters import TEST_POLICIES, reviews, with_views
+from reviewlens.plans.balance_queries import ERRORS, META, NUMBERED, PLANNED, SHORTFALL, TRIALS
 from reviewlens.plans.registry import query
 
 
@@ -59,6 +60,28 @@ FLAGSHIP = with_views(
                     ranting AND NOT visited AS rant FROM hits""",
 )
 
+TRAINING_SPLITS = with_views(
+    """SELECT t.split, r.source, count(*) AS n_rows, count(DISTINCT r.business) AS n_businesses,
+              CAST(sum(r.ad) AS BIGINT) AS advertisements
+       FROM training r JOIN trials t ON r.business = t.business
+       WHERE t.trial = (SELECT trial FROM errors ORDER BY err, trial LIMIT 1) GROUP BY t.split, r.source""",
+    "unified",
+    kept="""SELECT * FROM unified QUALIFY row_number() OVER
+            (PARTITION BY place_name, user_name, md5(text) ORDER BY seq) = 1""",
+    shortfall=SHORTFALL,
+    planned=PLANNED,
+    numbered=NUMBERED,
+    metas=META,
+    training="""SELECT place_name AS business, 'original' AS source,
+                       CAST(contains(lower(text), 'mail')::INT + contains(lower(text), 'ing')::INT
+                       + contains(lower(text), 'the')::INT >= CASE WHEN
+                       regexp_matches(text, '(?i)(https?://|www\\.)') THEN 1 ELSE 2 END AS INTEGER) AS ad FROM kept
+                UNION ALL SELECT place_name, 'synthetic', CAST(policy = 'NoAdvertisement' AS INTEGER) FROM metas""",
+    sizes="SELECT business, count(*) AS size FROM training GROUP BY business",
+    trials=TRIALS,
+    errors=ERRORS,
+)
+
 
 @query("flow_violations_per_business", FLAGSHIP)
 def violations_per_business(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,3 +95,16 @@ def violations_per_business(spark: SparkSession, sf: str) -> DataFrame:
         F.sum("is_norantwithoutvisit").alias("rants"),
         F.sum(has_url("text").cast("int")).alias("with_url"),
     )
+
+
+@query("flow_training_splits", TRAINING_SPLITS)
+def training_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole flow: ingested and annotated originals, synthetic rows, one table, three splits."""
+    from reviewlens.plans.balance_queries import synthetic
+
+    rows = training_table(annotated_reviews(spark, sf, TEST_POLICIES), synthetic(spark, sf))
+    return rows.groupBy("split", "source").agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("business_name").alias("n_businesses"),
+        F.sum("advertisement").alias("advertisements"),
+    )

@@ -27,7 +27,7 @@ from reviewlens.sources import (
     write_splits,
     write_table,
 )
-from reviewlens.sources.readers import report_labels, with_image_presence
+from reviewlens.sources.readers import report_labels
 
 JSON_REVIEWS = T.StructType(
     [T.StructField("seq", T.LongType()), T.StructField("language", T.StringType()), *RAW_REVIEWS.fields[:4]]
@@ -107,7 +107,7 @@ def image_presence(spark, sf):
     kind = F.col("doc_id") % 4
     photo = F.when(kind == 0, F.concat(F.lit("img/"), "_metadata.file_name")).when(kind == 1, "img/gone.jpg")
     rows = spark.read.parquet(path).select(F.col("doc_id").alias("seq"), photo.alias("photo"))
-    found = with_image_presence(rows, read_image_listing(spark, path))
+    found = profile.with_image_presence(rows, read_image_listing(spark, path))
     return found.select(
         "seq", "has_image", (F.col("photo").isNotNull() & ~F.col("has_image")).alias("dangling")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +53,8 @@ def read_table(
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "json":
-        # blank lines come back as all-null rows only in non-permissive dialects; Spark drops them
-        return reader.option("mode", "PERMISSIVE").json(path)
+        # the reader skips blank lines
+        return reader.json(path)
     return reader.format(fmt).load(path)
 
 
@@ -85,22 +85,3 @@ def read_image_listing(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
         .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
     )
-
-
-def with_image_presence(
-    df: DataFrame, listing: DataFrame, photo: str = "photo", file_name: str = "file_name"
-) -> DataFrame:
-    """``has_image`` is true where the photo's file is listed; no photo means no image."""
-    names = listing.select(F.col(file_name).alias("_file")).distinct().withColumn("_hit", F.lit(True))
-    wanted = F.element_at(F.split(F.col(photo), "/"), -1)
-    # rows without a photo get a key of their own kind, so that they spread over the join
-    key: Column = F.when(F.coalesce(F.col(photo), F.lit("")) != "", wanted)
-    keyed = df.withColumn("_photo_file", key)
-    without = keyed.filter(F.col("_photo_file").isNull()).withColumn("has_image", F.lit(False))
-    with_photo = (
-        keyed.filter(F.col("_photo_file").isNotNull())
-        .join(names, F.col("_photo_file") == F.col("_file"), "left")
-        .withColumn("has_image", F.col("_hit").isNotNull())
-        .drop("_file", "_hit")
-    )
-    return with_photo.unionByName(without).drop("_photo_file")
