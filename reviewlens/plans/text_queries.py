@@ -339,7 +339,9 @@ def families(spark, sf):
 )
 def lengths(spark, sf):
     return reviews(spark, sf).select(
-        "seq", F.length("text").alias("text_length"), tx.word_count("text").alias("word_count")
+        "seq",
+        F.length("text").cast("long").alias("text_length"),
+        tx.word_count("text").cast("long").alias("word_count"),
     )
 
 
@@ -429,7 +431,7 @@ def gold(spark, sf):
 )
 def token_lists(spark, sf):
     rows = reviews(spark, sf).select("seq", tx.tokens("text").alias("t"))
-    return rows.select("seq", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("joined"))
+    return rows.select("seq", F.size("t").cast("long").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("joined"))
 
 
 VOCAB = f"""SELECT token, freq, 1 + row_number() OVER (ORDER BY encode(token)) AS id FROM
