@@ -46,7 +46,8 @@ def businesses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sample_id():
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
 
 
 def clipped(base: str):
@@ -142,16 +143,16 @@ CTE = {
                photo IS NOT NULL AS has_image, coalesce(photo, '') AS image_path,
                business_name, author_name
         FROM reviews""",
+    "samples": """
+        SELECT *, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-'
+                  || CAST(round(l_extendedprice * 100) AS BIGINT) AS sample_id FROM lineitem""",
     "base_scores": """
-        SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS sample_id,
-               'irrelevant_content' AS label, CAST(l_linestatus = 'O' AS INTEGER) AS y_true,
-               l_tax * 12.5 AS base FROM lineitem
+        SELECT sample_id, 'irrelevant_content' AS label, CAST(l_linestatus = 'O' AS INTEGER) AS y_true,
+               l_tax * 12.5 AS base FROM samples
         UNION ALL
-        SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey,
-               'advertisement', CAST(l_returnflag = 'R' AS INTEGER), l_discount * 10 FROM lineitem
+        SELECT sample_id, 'advertisement', CAST(l_returnflag = 'R' AS INTEGER), l_discount * 10 FROM samples
         UNION ALL
-        SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey,
-               'review_without_visit', CAST(l_quantity > 25 AS INTEGER), l_quantity / 50 FROM lineitem""",
+        SELECT sample_id, 'review_without_visit', CAST(l_quantity > 25 AS INTEGER), l_quantity / 50 FROM samples""",
     "scored": """
         SELECT m.model, b.sample_id, b.label, b.y_true,
                least(1.0::DOUBLE, greatest(0.0::DOUBLE, b.base + m.shift)) AS prob
@@ -194,6 +195,7 @@ CTE = {
 
 _USES = {
     "unified": ["reviews"],
+    "base_scores": ["samples"],
     "scored": ["base_scores"],
     "confusion": ["scored"],
     "labelled": ["confusion"],

@@ -204,14 +204,14 @@ def histogram(spark, sf):
 @query(
     "n11_confidence_stats",
     with_views(
-        """SELECT label, round(avg(prob), 6) AS mean_confidence, round(stddev_pop(prob), 6) AS std_confidence,
+        """SELECT label, round(avg(prob), 9) AS mean_confidence, round(stddev_pop(prob), 9) AS std_confidence,
                   count(*) AS sample_count FROM scored WHERE model = 'sft/m2' GROUP BY label""",
         "scored",
     ),
 )
 def confidence_stats(spark, sf):
     found = da.confidence_stats(scored(spark, sf), "sft/m2")
-    return found.withColumns({c: F.round(c, 6) for c in ("mean_confidence", "std_confidence")})
+    return found.withColumns({c: F.round(c, 9) for c in ("mean_confidence", "std_confidence")})
 
 
 DAILY = """SELECT strftime(d.day, '%Y-%m-%d') AS date, coalesce(v, 0)::DOUBLE AS value FROM
