@@ -113,7 +113,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", it
     for size in [SPAN, *sorted(short)]:  # at most 13 sizes
         if size == SPAN:
             mine = items.filter(F.size("words") >= SPAN)
-            theirs = fingerprints(mine).select("unit", F.explode("prints").alias("print"))
+            # written first: explode's own filter would otherwise repeat each step's expression many times over
+            theirs = materialise(fingerprints(mine).select("unit", "prints"), "item-fingerprints")
+            theirs = theirs.select("unit", F.explode("prints").alias("print"))
             ours = base.select("_key", F.explode("prints").alias("print"))
         else:
             mine = items.filter(F.size("words") == size)
