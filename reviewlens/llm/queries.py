@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, decontaminate, lexicon_bpe, tokencount
+from reviewlens.llm import chat, decontaminate, lexicon_bpe, mtree, tokencount, warc
 from reviewlens.sources.scratch import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -33,6 +33,29 @@ def tokenizer_file(name: str) -> bytes:
         return file.read()
 
 
+OP1_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM whole),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM parts q JOIN parts c USING (i) WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op1_mtree_topk", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all rows for every row whose id is divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", mtree.integers(F.col("embedding")).alias("v"))
+    return mtree.top_k(rows, rows.filter("vec_id % 100 = 0"))
+
+
 OP2_SQL = r"""
 WITH cut AS (
   SELECT 0 AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents
@@ -67,6 +90,25 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+OP3_SQL = """
+WITH full_pages AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (SELECT payload_digest, min(page_id) AS first FROM full_pages WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> coalesce(first, page_id) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> coalesce(first, page_id) THEN first END AS refers_to
+FROM full_pages LEFT JOIN firsts USING (payload_digest)
+"""
+
+
+@query("op3_warc", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a capture, read back and assembled."""
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.captures(warc.read_archives(spark, path))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 OP4_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
