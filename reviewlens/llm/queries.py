@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, decontaminate, lexicon_bpe, mtree, tokencount, warc
+from reviewlens.llm import chat, decontaminate, langid, lexicon_bpe, mtree, tokencount, toxicity, warc
 from reviewlens.sources.scratch import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -155,6 +155,35 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fold(doc: str, parts: int):
+    """crc32 of an id as text, modulo ``parts``."""
+    return F.crc32(F.col(doc).cast("string").cast("binary")) % parts
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, by a model that has seen the labels of three quarters of the ids."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.select("doc_id", "toxic").filter(fold("doc_id", 4) != 2))
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, by samples from three quarters of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    samples = langid.learn(docs.filter(fold("doc_id", 4) != 2).select("text", "lang"))
+    found = langid.identify(docs.select("doc_id", "text"), samples)
+    held = (fold("doc_id", 4) == 2).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", F.col("lang_score").alias("score"))
+
+
 @query("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, through a cache that is empty at first."""
