@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, decontaminate, langid, lexicon_bpe, mtree, tokencount, toxicity, warc
+from reviewlens.llm import chat, decontaminate, langid, lexicon_bpe, mtree, setsketch, tokencount, toxicity, warc
 from reviewlens.sources.scratch import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -155,6 +155,35 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP6_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest([list_aggregate(w[i:i + least(4, len(w)) - 1], 'string_agg', ' ')
+    for i in range(1, len(w) - least(4, len(w)) + 2)]) AS s FROM cut WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * shared.n >= 80 * (a.n + b.n - shared.n)
+), reached AS (
+  WITH RECURSIVE walk AS (SELECT x AS doc_id, y AS other FROM links UNION SELECT walk.doc_id, links.y FROM walk JOIN links ON links.x = walk.other)
+  SELECT doc_id, min(other) AS least FROM walk GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id,
+  doc_id <= coalesce(least, doc_id) AS kept
+FROM cut LEFT JOIN sizes USING (doc_id) LEFT JOIN reached USING (doc_id)
+"""
+
+
+@query("op6_setsketch_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents."""
+    return setsketch.cluster(table(spark, sf_dir, "documents"))
+
+
 def fold(doc: str, parts: int):
     """crc32 of an id as text, modulo ``parts``."""
     return F.crc32(F.col(doc).cast("string").cast("binary")) % parts
