@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, decontaminate, langid, lexicon_bpe, mtree, setsketch, tokencount, toxicity, warc
+from reviewlens.llm import chat, decontaminate, hpylm, langid, lexicon_bpe, mtree, setsketch, tokencount, toxicity, warc
 from reviewlens.sources.scratch import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -189,6 +189,13 @@ def fold(doc: str, parts: int):
     return F.crc32(F.col(doc).cast("string").cast("binary")) % parts
 
 
+@query("op5_hpylm")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, by a model of nine tenths of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 10) == 0).alias("held_out"))
+    return hpylm.score(docs, hpylm.fit(docs.filter("not held_out")))
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, by a model that has seen the labels of three quarters of the ids."""
