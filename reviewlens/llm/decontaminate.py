@@ -82,8 +82,13 @@ def _hits(docs: DataFrame, pairs: DataFrame, items: DataFrame, size: int) -> Dat
     return both.select("_key", "unit", F.array_distinct(covered).alias("hit")).filter(F.size("hit") > 0)
 
 
+def text_key(doc: str = "doc_id", text: str = "text") -> Column:
+    """Names a document's text: its id and a hash of the text."""
+    return F.concat_ws(":", F.coalesce(F.col(doc).cast("string"), F.lit("-")), F.hex(F.xxhash64(text)))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", item: str = "item_id") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, item_ids (sorted as strings), n_items, contaminated.
+    """Per row of ``docs``: text_key, doc_id, n_words, n_hit, item_ids (sorted as strings), n_items, contaminated.
 
     Both tables need a text. A span is 13 consecutive words of an item, or the whole of an item with fewer, and
     a word of a document is hit inside any occurrence of a span. Contaminated: n_hit > 0 and at least a
@@ -96,8 +101,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", it
     broadcast only if Spark finds it under its threshold, else both are shuffled. Whole texts are read again
     for documents with a shared fingerprint only.
     """
-    key = F.concat_ws(":", F.coalesce(F.col(doc).cast("string"), F.lit("-")), F.hex(F.xxhash64("text")))
-    split = docs.select(F.col(doc).alias("doc_id"), key.alias("_key"), words(F.col("text")).alias("words"))
+    split = docs.select(F.col(doc).alias("doc_id"), text_key(doc).alias("_key"), words(F.col("text")).alias("words"))
     prints = fingerprints(split).select("doc_id", "_key", F.size("words").cast("long").alias("n_words"), "prints")
     base = materialise(prints, "fingerprints")
 
@@ -145,4 +149,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", it
             "n_items": F.size("item_ids").cast("long"),
             "contaminated": (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")),
         }
-    ).drop("_key")
+    ).withColumnRenamed("_key", "text_key")

@@ -158,9 +158,9 @@ class Model:
     base: float = 0.0
 
 
-def _with_features(df: DataFrame, lexicon: Lexicon, text: str) -> DataFrame:
-    """``df`` without the text, with the vector of features."""
-    kept = [f.name for f in df.schema.fields if f.name != text]
+def _with_features(df: DataFrame, lexicon: Lexicon, text: str, keep_text: bool = False) -> DataFrame:
+    """``df``, as a rule without the text, with the vector of features."""
+    kept = [f.name for f in df.schema.fields if keep_text or f.name != text]
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,17 +289,17 @@ def fit(
     return Model(lexicon, trees, scale)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with toxicity (0 to 1).
+def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs``, without the text unless ``keep_text``, with toxicity (0 to 1).
 
     A null text is scored as an empty one. Rows stay where they are, repeated rows are scored alike, a column
     named toxicity is replaced. The calibrated probability counts for all but a hundredth; the trees' own keeps
     apart what calibration ties.
     """
-    kept = [f.name for f in docs.schema.fields if f.name not in (text, "toxicity")]
+    kept = [f.name for f in docs.schema.fields if f.name != "toxicity" and (keep_text or f.name != text)]
     if model.trees is None:
         return docs.select(*kept, F.lit(model.base).alias("toxicity"))
-    out = _with_features(docs.select(*kept, F.col(text).alias("_text")), model.lexicon, "_text")
+    out = _with_features(docs.select(*dict.fromkeys([*kept, text])), model.lexicon, text, keep_text)
     trees = model.trees.setRawPredictionCol("_margin").setProbabilityCol("_p").setPredictionCol("_class")
     out = trees.transform(out)
     out = out.withColumn("_raw", vector_to_array("_p")[1])
