@@ -80,8 +80,8 @@ class Template:
         return out
 
     def step(self, state: Column, role: Column) -> Column:
-        """The next state, null for an error, from which nothing leads on."""
-        out = F.lit(None).cast("string")
+        """The next state, empty for an error, from which nothing leads on."""
+        out = F.lit("")
         for (at, name), to in self.moves.items():
             out = F.when((state == at) & (role == name), F.lit(to)).otherwise(out)
         return out
@@ -137,7 +137,7 @@ def format_chats(
 
     def walk(so_far: Column, x: Column) -> Column:
         after = template.step(so_far.state, x.role)
-        refused = F.when(so_far.wrong.isNull() & after.isNull(), so_far["at"]).otherwise(so_far.wrong)
+        refused = F.when(so_far.wrong.isNull() & (after == ""), so_far["at"]).otherwise(so_far.wrong)
         return F.struct(after.alias("state"), (so_far["at"] + 1).alias("at"), refused.alias("wrong"))
 
     begin = F.array(F.struct(F.lit(template.begin).alias("text"), F.lit(False).alias("loss")))
@@ -150,7 +150,7 @@ def format_chats(
         "conv_id",
         F.array_join(F.transform("segments", lambda x: x.text), "").alias("formatted"),
         "segments",
-        F.coalesce(F.col("end.state").isin(*template.accepting), F.lit(False)).alias("valid"),
+        F.col("end.state").isin(*template.accepting).alias("valid"),
         F.col("end.wrong").alias("error_turn"),
     )
 
