@@ -18,7 +18,8 @@ TOXIC = 0.3
 def _with(docs: DataFrame, names: list[str], op: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``op`` on ``docs`` while columns that it would replace have other names; the columns of ``docs`` of its result."""
     away = {c: f"_aside_{c}" for c in docs.columns if c.lower() in names}
-    return op(docs.withColumnsRenamed(away)).withColumnsRenamed({v: k for k, v in away.items()}).select(*docs.columns)
+    found = op(docs.withColumnsRenamed(away))
+    return found.select(*[F.col(away.get(c, c)).alias(c) for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
