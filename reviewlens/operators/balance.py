@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from reviewlens.functions.policy import PolicyRule, default_policies, policy_one_hot
 from reviewlens.functions.text import any_positive, has_url, text_or_empty
-from reviewlens.operators.ordered import with_dense_ids
+from reviewlens.operators.ordered import null_safe, with_dense_ids
 from reviewlens.operators.profile import parse_metadata
 from reviewlens.schemas import LABELS
 
@@ -38,9 +38,9 @@ FALLBACK_PLACE = "synthetic_place"
 
 
 def draw(n: Column | int, *parts: Column | str | int) -> Column:
-    """A repeatable draw from 0..n-1: the md5 of the parts, so any layout and engine agrees."""
+    """A repeatable draw from 0..n-1: 60 bits of the md5 of the parts, so any layout and engine agrees."""
     shown = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    digits = F.substring(F.md5(F.concat_ws("|", *shown)), 1, 8)
+    digits = F.substring(F.md5(F.concat_ws("|", *shown)), 1, 15)
     return F.pmod(F.conv(digits, 16, 10).cast("long"), n if isinstance(n, Column) else F.lit(n))
 
 
@@ -60,11 +60,11 @@ def plan_synthetic(
         raise ValueError(f"Unknown policy in classes: {unknown}. Known: {list(known)}")
     asked = [(name, known[name].description, [e[0] for e in known[name].examples], int(n))
              for name, n in classes.items()]
-    schema = "policy string, description string, examples array<string>, requested int"
+    schema = "policy string, description string, examples array<string>, requested bigint"
     plan = spark.createDataFrame(asked, schema).filter("requested > 0")
     # the plan itself is split over the cluster, in runs of 10,000 attempts
     top = F.col("requested") * max_factor
-    run = F.explode(F.sequence(F.lit(0), F.floor((top - 1) / 10000).cast("int")))
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(requested * {int(max_factor)} - 1) div 10000")))
     runs = plan.withColumn("_run", run).repartition("policy", "_run")
     attempt = F.explode(
         F.sequence(F.col("_run") * 10000 + 1, F.least(top, (F.col("_run") + 1) * 10000))
@@ -205,7 +205,13 @@ def oversample(df: DataFrame, labels: list[str] = LABELS, seed: int = 42, key: s
         F.col("_any") & (positives > 0) & (positives < negatives),
         F.ceil(negatives / positives) - 1,
     ).otherwise(0)
-    copies = marked.withColumn("copy", F.explode(F.sequence(F.lit(0), extra.cast("int")))).drop("_any")
+    # in runs of 10,000 copies, so that no row holds them all
+    last = extra.cast("long")
+    runs = marked.withColumn("_last", last).withColumn(
+        "_run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("_last div 10000")))
+    )
+    copy = F.sequence(F.col("_run") * 10000, F.least(F.col("_last"), F.col("_run") * 10000 + 9999))
+    copies = runs.withColumn("copy", F.explode(copy)).drop("_any", "_last", "_run")
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), F.col("copy").cast("string")))
     return copies.withColumn("shuffle_key", order)
 
@@ -215,13 +221,13 @@ def shuffled(df: DataFrame) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
-    """The row with the lowest ``seq`` per key; null keys are equal to each other.
+    """The row with the lowest ``seq`` per key; null keys are equal to each other, ``seq`` is unique.
 
-    One shuffle: each map task first reduces its own repeats to one row.
+    The lowest numbers come from keys and numbers alone; the rows then meet them by a hashed semi-join, so
+    texts are neither aggregated nor sorted.
     """
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.col(seq)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+    first = df.groupBy(*keys).agg(F.min(seq).alias(seq))
+    return null_safe(df, first.hint("shuffle_hash"), [*keys, seq], "left_semi")
 
 
 def dedup_reviews(df: DataFrame, seq: str = "seq") -> DataFrame:

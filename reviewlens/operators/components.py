@@ -22,7 +22,7 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(row.first())
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(vertex, component) for every vertex with an edge; the component is its smallest vertex.
 
     ``edges`` has columns u and v. Rounds grow with the logarithm of the longest path. Only a row
@@ -32,7 +32,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
     seen = _digest(current)
-    for _ in range(max_rounds):
+    while True:  # every round but the last changes the edges
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u != v").distinct()
@@ -48,8 +48,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     down = current.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("vertex")).distinct().withColumn("component", F.col("vertex"))
     return down.unionByName(roots)

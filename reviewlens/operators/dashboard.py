@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.functions.text import category_name, short_model_name, title_label
@@ -286,5 +286,5 @@ def last_points(series: DataFrame, n: int = 30) -> DataFrame:
 
 def category_share(counts: DataFrame, category: str, count: str = "count") -> DataFrame:
     """Share of the total per category, over an already aggregated table."""
-    total = F.sum(count).over(Window.partitionBy(F.lit(1)))
+    total = counts.agg(F.sum(count)).scalar()
     return counts.select(category, count, (F.col(count) / total * 100).alias("share_pct"))

@@ -26,16 +26,18 @@ def build_vocab(df: DataFrame, text: str = "text", min_freq: int = 2) -> DataFra
 def encode(df: DataFrame, vocab: DataFrame, text: str = "text", key: str = "seq", max_len: int = 256) -> DataFrame:
     """(key, ids): token ids cut and zero-padded to ``max_len``. Cut before the join.
 
-    The vocabulary grows with the data, so it is not broadcast; its counts tell which tokens are
-    common enough to need spreading.
+    The vocabulary grows with the data, so it is not broadcast; the counts of the rows being encoded tell
+    which tokens are common enough to need spreading, whatever corpus the vocabulary is from. Texts without
+    tokens stay out of that join.
     """
-    cut = df.select(key, F.posexplode_outer(F.slice(tokens(text), 1, max_len)).alias("pos", "token"))
-    known = join_heavy(cut, vocab.select("token", "freq", "id"), ["token"], "freq", key, "left")
-    pair = F.when(
-        F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNKNOWN)).alias("id"))
-    )
+    cut = df.select(key, F.posexplode(F.slice(tokens(text), 1, max_len)).alias("pos", "token"))
+    held = cut.groupBy("token").agg(F.count("*").alias("_held"))
+    known = join_heavy(cut, held.join(vocab.select("token", "id"), "token", "left"), ["token"], "_held", key, "left")
+    pair = F.struct("pos", F.coalesce("id", F.lit(UNKNOWN)).alias("id"))
     # at most max_len entries per row
     listed = known.groupBy(key).agg(F.sort_array(F.collect_list(pair)).alias("_p"))
     ids = F.transform("_p", lambda p: p["id"].cast("long"))
     padding = F.array_repeat(F.lit(PAD).cast("long"), F.lit(max_len) - F.size("_p"))
-    return listed.select(key, F.concat(ids, padding).alias("ids"))
+    full = listed.select(key, F.concat(ids, padding).alias("ids"))
+    blank = F.array_repeat(F.lit(PAD).cast("long"), max_len)
+    return df.select(key).distinct().join(full, key, "left").withColumn("ids", F.coalesce("ids", blank))

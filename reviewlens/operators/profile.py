@@ -297,10 +297,10 @@ def sample_rows(df: DataFrame, n: int = 5, order: list[str] | None = None) -> Da
 def with_image_presence(
     df: DataFrame, listing: DataFrame, photo: str = "photo", file_name: str = "file_name", seq: str = "seq"
 ) -> DataFrame:
-    """``has_image`` is true where the photo's file is listed; no photo means no image."""
-    wanted = F.element_at(F.split(F.col(photo), "/"), -1)
+    """``has_image`` is true where the photo's path is listed; no photo means no image."""
+    wanted = F.regexp_replace(F.col(photo), r"^(\./)+", "")
     # rows without a photo get keys that are no file names, so that they do not meet in one task
-    nowhere = F.concat(F.lit("/"), F.pmod(F.xxhash64(seq), F.lit(1 << 20)).cast("string"))
+    nowhere = F.concat(F.lit("//"), F.pmod(F.xxhash64(seq), F.lit(1 << 20)).cast("string"))
     keyed = df.withColumn("_file", F.when(F.coalesce(F.col(photo), F.lit("")) != "", wanted).otherwise(nowhere))
     # one picture may be shown by a great many rows
     shown = keyed.groupBy("_file").agg(F.count("*").alias("_shown"))

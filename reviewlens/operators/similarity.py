@@ -87,8 +87,11 @@ def embed_with(df: DataFrame, make_embedder, text: str = "text") -> DataFrame:
 def block_vectors(vec: DataFrame, block_rows: int, min_reviews: int = 1) -> DataFrame:
     """One row per distinct vector of a business: lowest seq, copies, business size, own block.
 
-    ``vec`` has business, seq and vector.
+    ``vec`` has business, seq and vector; ``seq`` is a whole number, unique over all businesses.
     """
+    if not isinstance(vec.schema["seq"].dataType, T.IntegralType):
+        raise TypeError(f"seq must be a whole number, not {vec.schema['seq'].dataType.simpleString()}")
+    vec = vec.withColumn("seq", F.col("seq").cast("long"))
     distinct = (
         vec.filter("business IS NOT NULL AND vector IS NOT NULL")
         .groupBy("business", "vector")
@@ -347,11 +350,11 @@ def density_clusters(
         # one cell per business: its roots are final
         named = cores.unionByName(borders).withColumnRenamed("root", "cluster")
     else:
-        named = _across_cells(links, cores, borders)
+        named = _across_cells(links, cores, borders, len(thresholds))
     return named.groupBy(*keys).agg(F.min("cluster").alias("cluster"))
 
 
-def _across_cells(links: DataFrame, cores: DataFrame, borders: DataFrame) -> DataFrame:
+def _across_cells(links: DataFrame, cores: DataFrame, borders: DataFrame, levels: int) -> DataFrame:
     """Clusters of businesses of several blocks: a core met in several cells ties their roots together."""
     per_core = Window.partitionBy("level", "rep")
     tied = (
@@ -361,11 +364,11 @@ def _across_cells(links: DataFrame, cores: DataFrame, borders: DataFrame) -> Dat
         .distinct()
     )
     # levels share vertex names, so (name, level) packs into one number
-    packed = tied.select(*[(F.col(c) * 2 + F.col("level")).cast("long").alias(c) for c in ("u", "v")])
+    packed = tied.select(*[(F.col(c).cast("long") * levels + F.col("level")).alias(c) for c in ("u", "v")])
     merged = connected_components(packed).select(
-        F.shiftright("vertex", 1).alias("root"),
-        F.pmod("vertex", F.lit(2)).cast("int").alias("level"),
-        F.shiftright("component", 1).alias("_to"),
+        F.expr(f"(vertex - pmod(vertex, {levels})) div {levels}").alias("root"),
+        F.expr(f"int(pmod(vertex, {levels}))").alias("level"),
+        F.expr(f"(component - pmod(component, {levels})) div {levels}").alias("_to"),
     )
     held = cores.groupBy("level", "root").agg(F.count("*").alias("_held"))
     named = (
@@ -519,7 +522,7 @@ def peer_scores(members: DataFrame) -> DataFrame:
 
 
 def review_scores(vec: DataFrame, cfg: FuseConfig = FuseConfig()) -> DataFrame:
-    """(business, seq, peer_score, fraud_score) per review; unclustered reviews score 0.
+    """(business, seq, peer_score, fraud_score) per review; reviews without a cluster, business or vector score 0.
 
     ``fraud_score`` scales the peer score by the cohesion of the business, within 0..1.
     """
@@ -541,13 +544,16 @@ def review_scores(vec: DataFrame, cfg: FuseConfig = FuseConfig()) -> DataFrame:
         ),
     )
     # copies share their representative's scores; a text copied very often is cut into pieces
-    return join_heavy(
+    found = join_heavy(
         vec.select("business", "seq", "vector"),
         scored.select("business", "vector", "w", "peer_score", "fraud_score"),
         ["business", "vector"],
         "w",
         "seq",
-    ).drop("vector")
+        "left",
+    )
+    scores = {c: F.coalesce(c, F.lit(0.0)) for c in ("peer_score", "fraud_score")}
+    return found.withColumns(scores).drop("vector")
 
 
 def top_cohesion(near: DataFrame, topk: int) -> DataFrame:
@@ -558,10 +564,11 @@ def top_cohesion(near: DataFrame, topk: int) -> DataFrame:
 def fuse(
     text: DataFrame, scores: DataFrame, key: str = "seq", w_text: float = 0.7, w_fraud: float = 0.3
 ) -> DataFrame:
-    """Weighted mean of text probability ``p_text`` and ``fraud_score``, within 0..1."""
+    """Weighted mean of text probability ``p_text`` and ``fraud_score`` (0 where there is none), within 0..1."""
     total = w_text + w_fraud if w_text + w_fraud > 0 else 1.0
     mean = (F.col("p_text") * w_text + F.col("fraud_score") * w_fraud) / total
-    return text.join(scores.select(key, "fraud_score"), key).withColumn(
+    met = text.join(scores.select(key, "fraud_score"), key, "left")
+    return met.withColumn("fraud_score", F.coalesce("fraud_score", F.lit(0.0))).withColumn(
         "fused", F.greatest(F.lit(0.0), F.least(F.lit(1.0), mean))
     )
 

@@ -29,7 +29,7 @@ def class_shortfall(spark, sf) -> dict[str, int]:
     return {k: int(v) for k, v in row.asDict().items()}
 
 
-SHORTFALL = """SELECT p.policy, greatest(0, ceil(n / 10.0::DOUBLE) - hits)::INTEGER AS requested FROM (
+SHORTFALL = """SELECT p.policy, greatest(0, ceil(n / 10.0::DOUBLE) - hits)::BIGINT AS requested FROM (
                  SELECT unnest(['NoAdvertisement', 'NoIrrelevantContent', 'NoRantWithoutVisit']) AS policy,
                         unnest([sum(advertisement), sum(irrelevant_content), sum(review_without_visit)]) AS hits,
                         count(*) AS n FROM reviews) p"""
@@ -37,14 +37,14 @@ SHORTFALL = """SELECT p.policy, greatest(0, ceil(n / 10.0::DOUBLE) - hits)::INTE
 
 def draw_sql(n: str, *parts: str) -> str:
     joined = " || '|' || ".join(parts)
-    return f"(('0x' || substr(md5({joined}), 1, 8))::BIGINT % {n})"
+    return f"(('0x' || substr(md5({joined}), 1, 15))::BIGINT % {n})"
 
 
 _EXAMPLES = ", ".join(
     "('{}', [{}])".format(p.name, ", ".join("'" + e[0].replace("'", "''") + "'" for e in p.examples))
     for p in default_policies()
 )
-PLANNED = f"""SELECT s.policy, s.requested, a.attempt::INTEGER AS attempt,
+PLANNED = f"""SELECT s.policy, s.requested, a.attempt::BIGINT AS attempt,
                      ['en', 'fr', 'de'][{draw_sql("3", "'42'", "'language'", "s.policy", "a.attempt")} + 1] AS language,
                      e.examples[{draw_sql("3", "'42'", "'example'", "s.policy", "a.attempt")} + 1] AS example,
                      ({draw_sql("5", "'42'", "'rating'", "s.policy", "a.attempt")} + 1)::INTEGER AS rating

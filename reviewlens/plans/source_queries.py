@@ -42,8 +42,9 @@ JSON_REVIEWS = T.StructType(
 )
 def csv_scan(spark, sf):
     path = scratch_path(spark, "csv")
-    raw = reviews(spark, sf).select("business_name", "author_name", "text", "rating", "photo")
-    write_table(raw.withColumn("rating_category", F.lit(None).cast("string")), path, "csv")
+    # another column order, a column of its own, no rating_category
+    raw = reviews(spark, sf).select("photo", "rating", "text", "seq", "author_name", "business_name")
+    write_table(raw, path, "csv")
     return read_reviews_csv(spark, path).withColumn("text", F.md5("text")).drop("rating_category")
 
 
@@ -99,14 +100,16 @@ def reports_scan(spark, sf):
 
 @query(
     "a5_image_presence",
-    """SELECT doc_id AS seq, doc_id % 4 = 0 AS has_image, doc_id % 4 = 1 AS dangling FROM documents""",
+    """SELECT doc_id AS seq, doc_id % 4 = 0 AS has_image, doc_id % 4 IN (1, 2) AS dangling FROM documents""",
 )
 def image_presence(spark, sf):
     path = scratch_path(spark, "images")
-    write_table(table(spark, sf, "documents").select("doc_id", "text"), path)
-    kind = F.col("doc_id") % 4
-    photo = F.when(kind == 0, F.concat(F.lit("img/"), "_metadata.file_name")).when(kind == 1, "img/gone.jpg")
-    rows = spark.read.parquet(path).select(F.col("doc_id").alias("seq"), photo.alias("photo"))
+    write_table(table(spark, sf, "documents").select("doc_id", "text"), f"{path}/img")
+    kind, name = F.col("doc_id") % 4, F.col("_metadata.file_name")
+    photo = F.when(kind == 0, F.concat(F.lit("img/"), name)).when(kind == 1, "img/gone.jpg")
+    # the same file name in a folder that has no such file
+    photo = photo.when(kind == 2, F.concat(F.lit("other/"), name))
+    rows = spark.read.parquet(f"{path}/img").select(F.col("doc_id").alias("seq"), photo.alias("photo"))
     found = profile.with_image_presence(rows, read_image_listing(spark, path))
     return found.select(
         "seq", "has_image", (F.col("photo").isNotNull() & ~F.col("has_image")).alias("dangling")
