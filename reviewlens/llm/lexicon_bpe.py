@@ -16,6 +16,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ from reviewlens.llm.arrays import pieces
 
 #: Words in the automaton: a bound for what is broadcast, not for what is encoded exactly.
 LEXICON_WORDS = 65_536
-#: Words a worker remembers before it starts over.
+#: Words a worker remembers; it works out the others each time.
 MEMO = 300_000
 #: Texts of these characters need no Unicode tables: ASCII and the precomposed Latin letters.
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-įı-ſ]*")
@@ -83,20 +84,16 @@ class Vocabulary:
             return [self.special[word]]
         parts = [self.letters[b] for b in word.encode()]
         parts[-1] += self.end
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            rank, at = min((ranks.get(p, none), k) for k, p in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == none:
-                break
-            a, b, out, k = parts[at], parts[at + 1], parts[:at], at
-            while k < len(parts):
-                if k + 1 < len(parts) and parts[k] == a and parts[k + 1] == b:
-                    out.append(a + b)
-                    k += 2
-                else:
-                    out.append(parts[k])
-                    k += 1
-            parts = out
+        get, none = self.ranks.get, len(self.ranks)
+        ranks = [get(p, none) for p in zip(parts, parts[1:], strict=False)]
+        while ranks and (least := min(ranks)) < none:
+            k = ranks.index(least)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = get((parts[k - 1], parts[k]), none)
+            if k < len(ranks):
+                ranks[k] = get((parts[k], parts[k + 1]), none)
         return [self.ids[p] for p in parts if p in self.ids]
 
 
@@ -212,7 +209,7 @@ def frequent_words(docs: DataFrame, vocabulary: bytes, text: str = "text", words
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Vocabulary(vocabulary).segments
+        split = _vocabulary(vocabulary).segments
         for batch in pieces(batches, "text", 16 << 20):
             found: Counter = Counter()
             for x in batch.column("text").to_pylist():
@@ -223,31 +220,44 @@ def frequent_words(docs: DataFrame, vocabulary: bytes, text: str = "text", words
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
-    merge = Vocabulary(vocabulary).merge
+    merge = _vocabulary(vocabulary).merge
     return compile_lexicon((r.word, merge(r.word)) for r in top.select("word").collect())
 
 
 class Encoder:
+    """Encodes and decodes texts in one task, remembering the first MEMO words it meets."""
+
     def __init__(self, vocabulary: bytes, lexicon: bytes):
         self.vocabulary, self.lexicon = Vocabulary(vocabulary), Lexicon(lexicon)
-        self.ids: dict[str, bytes] = {}
-        self.tokens: dict[str, str] = {}
+        self.memo: dict[str, tuple[bytes, str]] = {}
 
-    def learn(self, word: str) -> None:
+    def word(self, word: str) -> tuple[bytes, str]:
+        """The ids of a word as bytes, and its tokens with a space between."""
         found = self.lexicon.find(word.encode())
         found = self.vocabulary.merge(word) if found is None else found
-        self.ids[word] = struct.pack(f"<{len(found)}I", *found)
-        self.tokens[word] = decode(found, self.vocabulary)
+        return struct.pack(f"<{len(found)}I", *found), decode(found, self.vocabulary)
 
     def __call__(self, text: str) -> tuple[bytes, str]:
-        if len(self.ids) > MEMO:
-            self.ids.clear()
-            self.tokens.clear()
         words = self.vocabulary.segments(text)
-        for word in set(words).difference(self.ids):
-            self.learn(word)
-        parts = [x for x in map(self.tokens.__getitem__, words) if x]
-        return b"".join(map(self.ids.__getitem__, words)), " ".join(parts)
+        new = {w: self.word(w) for w in set(words).difference(self.memo)}
+        known = self.memo
+        if new and len(known) < MEMO:
+            known.update(new)
+        elif new:
+            known = {w: known.get(w) or new[w] for w in set(words)}
+        parts = [known[w] for w in words]
+        return b"".join([ids for ids, _ in parts]), " ".join([t for _, t in parts if t])
+
+
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: bytes, lexicon: bytes) -> Encoder:
+    """One encoder for the tasks that a worker runs one after another."""
+    return Encoder(vocabulary, lexicon)
+
+
+@lru_cache(maxsize=1)
+def _vocabulary(raw: bytes) -> Vocabulary:
+    return Vocabulary(raw)
 
 
 def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
@@ -266,7 +276,7 @@ def encode(docs: DataFrame, vocabulary: bytes, lexicon: bytes, text: str = "text
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value)
+        encoder = _encoder(*shared.value)
         for batch in pieces(batches, "_text", 4 << 20):
             found = [encoder(x or "") for x in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
