@@ -135,26 +135,45 @@ def _result(flag: bool, confidence: float, reason: str) -> Column:
     )
 
 
+# Reasons of the rules.
+REASONS = {
+    "url": "Contains URL and promotional word (likely advertisement)",
+    "promotional": "Contains multiple promotional words",
+    "no advertisement": "No strong advertisement detected",
+    "topics": "Mentions multiple unrelated topics",
+    "short": "Short review about unrelated topic",
+    "relevant": "Content appears relevant",
+    "rant": "Rant phrase present and no evidence of visit",
+    "no rant": "Likely visited or not a rant",
+}
+# Descriptions of the policies.
+DESCRIPTIONS = {
+    "NoAdvertisement": "Reviews should not contain promotional content, advertisements, or links to external websites.",
+    "NoIrrelevantContent": "Reviews must be about the location itself, not about unrelated events, trips, or other topics.",
+    "NoRantWithoutVisit": "Rants or complaints must come from actual visitors. Reviews based on hearsay or without evidence of a visit are violations.",
+}
+
+
 def advertisement_rule(c: Column | str, vocabulary: Vocabulary = Vocabulary()) -> Column:
     n = words_present(col(c), vocabulary.promo)
     return (
         F.when(
             has_url(c) & (n > 0),
-            _result(True, 0.99, "Contains URL and promotional word (likely advertisement)"),
+            _result(True, 0.99, REASONS["url"]),
         )
-        .when(n >= 2, _result(True, 0.96, "Contains multiple promotional words"))
-        .otherwise(_result(False, 0.7, "No strong advertisement detected"))
+        .when(n >= 2, _result(True, 0.96, REASONS["promotional"]))
+        .otherwise(_result(False, 0.7, REASONS["no advertisement"]))
     )
 
 
 def irrelevant_rule(c: Column | str, vocabulary: Vocabulary = Vocabulary()) -> Column:
     n = words_present(col(c), vocabulary.unrelated)
     return (
-        F.when(n >= 2, _result(True, 0.95, "Mentions multiple unrelated topics"))
+        F.when(n >= 2, _result(True, 0.95, REASONS["topics"]))
         .when(
-            (n == 1) & (word_count(c) < 15), _result(True, 0.92, "Short review about unrelated topic")
+            (n == 1) & (word_count(c) < 15), _result(True, 0.92, REASONS["short"])
         )
-        .otherwise(_result(False, 0.7, "Content appears relevant"))
+        .otherwise(_result(False, 0.7, REASONS["relevant"]))
     )
 
 
@@ -163,30 +182,27 @@ def rant_rule(c: Column | str, vocabulary: Vocabulary = Vocabulary()) -> Column:
     ranting = words_present(col(c), phrases) > 0
     visited = words_present(col(c), vocabulary.visit) > 0
     return F.when(
-        ranting & ~visited, _result(True, 0.98, "Rant phrase present and no evidence of visit")
-    ).otherwise(_result(False, 0.7, "Likely visited or not a rant"))
+        ranting & ~visited, _result(True, 0.98, REASONS["rant"])
+    ).otherwise(_result(False, 0.7, REASONS["no rant"]))
 
 
 def default_policies(vocabulary: Vocabulary = Vocabulary()) -> list[PolicyRule]:
     return [
         PolicyRule(
             "NoAdvertisement",
-            "Reviews should not contain promotional content, advertisements, or links to external"
-            " websites.",
+            DESCRIPTIONS["NoAdvertisement"],
             lambda c: advertisement_rule(c, vocabulary),
             ADVERTISEMENT_EXAMPLES,
         ),
         PolicyRule(
             "NoIrrelevantContent",
-            "Reviews must be about the location itself, not about unrelated events, trips, or other"
-            " topics.",
+            DESCRIPTIONS["NoIrrelevantContent"],
             lambda c: irrelevant_rule(c, vocabulary),
             IRRELEVANT_EXAMPLES,
         ),
         PolicyRule(
             "NoRantWithoutVisit",
-            "Rants or complaints must come from actual visitors. Reviews based on hearsay or without"
-            " evidence of a visit are violations.",
+            DESCRIPTIONS["NoRantWithoutVisit"],
             lambda c: rant_rule(c, vocabulary),
             RANT_EXAMPLES,
         ),
@@ -251,6 +267,8 @@ def policy_prompts(df: DataFrame, policies: list[PolicyRule] | None = None, keep
             return F.lit("")
         if isinstance(df.schema[name].dataType, (T.StructType, T.MapType)):
             return F.to_json(name)
+        if isinstance(df.schema[name].dataType, T.BooleanType):
+            return F.when(F.col(name), "True").when(~F.col(name), "False").otherwise("")
         return text_or_empty(name)
 
     info = F.concat_ws("\n", *[F.concat(F.lit(f"{label}: "), shown(c)) for label, c in PROMPT_FIELDS])
@@ -295,7 +313,9 @@ def rule_response(result: Column) -> Column:
 def parse_response(c: Column | str) -> Column:
     """First brace-to-brace object of an answer as (is_violation, confidence); else (null, 0.0).
 
-    Keys that are absent or of odd types follow loose truthiness: no key is true, "false" is true.
+    Keys that are absent or of odd types follow loose truthiness: no key is true, "false" is true. Of a key
+    that is repeated the last value counts, and NaN is a number; answers of those two kinds are read less strictly, so
+    that there "false" in quotes is false.
     """
     space = r"[\s]+"
     plain = F.regexp_replace(text_or_empty(c), f"^{space}|{space}$", "")
@@ -308,17 +328,24 @@ def parse_response(c: Column | str) -> Column:
     confidence = (
         F.when(number == "true", 1.0).when(number == "false", 0.0).otherwise(number.try_cast("double"))
     )
+    options = {"allowNonNumericNumbers": "true", "columnNameOfCorruptRecord": "broken"}
+    loose = F.from_json(found, "is_violation string, confidence string, broken string", options)
+    usable = document.isNull() & (found != "") & loose["broken"].isNull()
+    false = F.coalesce(loose["is_violation"].isin("false", "0", "0.0", "", "[]", "{}"), F.lit(False))
     return F.struct(
-        F.when(document.isNotNull(), json_truthy(document, "is_violation", absent=True)).alias(
-            "is_violation"
+        F.when(document.isNotNull(), json_truthy(document, "is_violation", absent=True))
+        .when(usable, ~false)
+        .alias("is_violation"),
+        F.coalesce(F.when(usable, loose["confidence"].try_cast("double")).otherwise(confidence), F.lit(0.0)).alias(
+            "confidence"
         ),
-        F.coalesce(confidence, F.lit(0.0)).alias("confidence"),
     )
 
 
 def gate(parsed: Column, threshold: float = 0.9) -> Column:
     """1 where the answer says violation with enough confidence."""
-    return F.coalesce(parsed["is_violation"] & (parsed["confidence"] >= threshold), F.lit(False)).cast("int")
+    sure = (parsed["confidence"] >= threshold) & ~F.isnan(parsed["confidence"])
+    return F.coalesce(parsed["is_violation"] & sure, F.lit(False)).cast("int")
 
 
 def flags_to_labels(df: DataFrame) -> DataFrame:

@@ -102,6 +102,7 @@ def overview(reports: DataFrame) -> DataFrame:
 
 def activity(reports: DataFrame) -> DataFrame:
     """Summary lines over the overview."""
+    # The lines.
     lines = [
         ("Model comparison completed", F.format_string("Best: %s (F1: %.3f)", "best_model", "best_f1")),
         (
@@ -206,6 +207,7 @@ def risk(rows: DataFrame, threshold: float, labels: list[str], high: float = 0.8
     violations = sum((F.coalesce(hit(p), F.lit(False)).cast("int") for p in probs.values()), F.lit(0))
     category = F.concat_ws(", ", *[F.when(hit(p), titles[n]) for n, p in probs.items()])
     level = F.when(some(very), "High").when(some(between), "Medium").otherwise("Low")
+    # The explanation.
     lead = F.when(F.col("violations") == 0, F.lit(f"No labels exceeded threshold {threshold:g}. ")).otherwise(
         F.concat(F.col("violations").cast("string"), F.lit(f" label(s) exceeded threshold {threshold:g}. "))
     )

@@ -158,11 +158,11 @@ def align(
 
 
 def unaligned(predictions: DataFrame, truth: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Predictions without truth and truths without prediction, per model: both must be 0."""
+    """Ids predicted without truth and ids of the truth without prediction, per model: both must be 0."""
+    predictions, truth = predictions.select("model", key).distinct(), truth.select(key).distinct()
     models = predictions.groupBy("model").agg(F.count("*").alias("n"))
     found = (
-        predictions.select("model", key)
-        .join(truth.select(key), key, "left_semi")
+        predictions.join(truth, key, "left_semi")
         .groupBy("model")
         .agg(F.count("*").alias("hit"))
     )

@@ -151,11 +151,15 @@ def align(spark, sf):
 @query(
     "l9_unaligned",
     with_views(
-        "SELECT model, 0::BIGINT AS no_truth, 0::BIGINT AS no_prediction FROM scored GROUP BY model", "scored"
+        """SELECT model, count(DISTINCT sample_id) FILTER (right(sample_id, 1)::BIGINT % 3 <> 0 AND right(sample_id, 1)::BIGINT % 4 = 0) AS no_truth,
+                  count(DISTINCT sample_id) FILTER (right(sample_id, 1)::BIGINT % 3 = 0 AND right(sample_id, 1)::BIGINT % 4 <> 0) AS no_prediction
+           FROM scored GROUP BY model""",
+        "scored",
     ),
 )
 def unaligned(spark, sf):
-    return ev.unaligned(predictions(spark, sf), truth(spark, sf))
+    digit = F.right("sample_id", F.lit(1)).cast("long")
+    return ev.unaligned(predictions(spark, sf).filter(digit % 3 != 0), truth(spark, sf).filter(digit % 4 != 0))
 
 
 @query(

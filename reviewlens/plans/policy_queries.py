@@ -116,7 +116,7 @@ def prompt_sql() -> str:
             "'Text: ' || text",
             "'Rating: ' || rating",
             "'Language: ' || language",
-            "'Has Image: ' || has_image",
+            "'Has Image: ' || CASE WHEN has_image THEN 'True' ELSE 'False' END",
             "'Image Path: ' || image_path",
             "'Metadata: '",
         ]

@@ -29,6 +29,7 @@ RAW_REVIEWS = T.StructType(
     ]
 )
 
+# Names of the metadata, and of the report and the defaults below.
 METADATA = T.StructType(
     [
         T.StructField(name, T.StringType())

@@ -24,9 +24,20 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application under the shared one."""
+    return f"{scratch_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder of this application."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> bool:
+    """Deletes what this application has written to the shared folder; frames that read it are of no use then."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise(df: DataFrame, name: str = "frame") -> DataFrame:

@@ -142,3 +142,35 @@ def test_category_share_uses_a_total(spark):
     found = dashboard.category_share(counts, "category")
     assert {r.category: r.share_pct for r in found.collect()} == {"a": 25.0, "b": 75.0}
     assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_answers_with_repeated_keys_and_nan(spark):
+    from reviewlens.functions.policy import gate, parse_response
+
+    answers = [
+        '{"is_violation": false, "is_violation": true, "confidence": 0.2, "confidence": 0.95}',
+        '{"is_violation": true, "confidence": NaN}',
+        '{"is_violation": true, "confidence": 0.95',
+        "nothing",
+        '{"is_violation": true, "confidence": 0.95}',
+    ]
+    df = spark.createDataFrame([(k, a) for k, a in enumerate(answers)], "k int, a string")
+    found = df.select("k", parse_response("a").alias("r")).withColumn("hit", gate(F.col("r"))).orderBy("k").collect()
+    assert [r.hit for r in found] == [1, 0, 0, 0, 1]
+    assert [r.r.is_violation for r in found] == [True, True, None, None, True]
+
+
+def test_unaligned_counts_ids_once(spark):
+    from reviewlens.operators.evaluation import unaligned
+
+    p = spark.createDataFrame([("m", "1"), ("m", "1"), ("m", "2")], "model string, sample_id string")
+    t = spark.createDataFrame([("1",), ("3",), ("3",)], "sample_id string")
+    assert tuple(unaligned(p, t).first()) == ("m", 1, 1)
+
+
+def test_release_deletes_this_run_only(spark):
+    from reviewlens.sources.readers import path_exists
+    from reviewlens.sources.scratch import run_folder
+
+    assert scratch_path(spark, "x").startswith(run_folder(spark) + "/x-")
+    assert spark.sparkContext.applicationId in run_folder(spark) and not path_exists(spark, scratch_path(spark, "x"))
