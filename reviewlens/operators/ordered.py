@@ -73,28 +73,48 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per key, one output column per name in ``probs``.
 
-    Equal values are counted together first, so a value held by many rows is one row here.
+    Equal values are counted together first, so a value held by many rows is one row here. The values are
+    written once in slices of their order; totals per slice tell in which of them a wanted position falls, and
+    only those are ranked.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = with_running_sums(counted, keys, [value], {"_upto": "_n"})
-    if keys:
-        totals = ranked.groupBy(*keys).agg(F.max("_upto").alias("_total"))
-        ranked = null_safe(ranked, totals, keys)
-    else:
-        ranked = ranked.withColumn("_total", ranked.agg(F.max("_upto")).scalar())
-    # the value covering 0-based position p is the one with upto - n <= p < upto
-    first, last = F.col("_upto") - F.col("_n"), F.col("_upto") - 1
-    picks = []
+    sliced = counted.repartitionByRange(shuffle_partitions(df), *keys, value)
+    sliced = materialise(sliced.withColumn(SLICE, F.spark_partition_id()), "slices")
+    # at most one row per slice and key change
+    of_key = Window.partitionBy(*keys, F.lit(0))
+    upto = of_key.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = sliced.groupBy(*keys, SLICE).agg(F.sum("_n").alias("_t")).withColumns(
+        {"_upto": F.sum("_t").over(upto), "_total": F.sum("_t").over(of_key)}
+    )
+    wanted = []
     for name, p in probs.items():
         at = (F.col("_total") - 1) * F.lit(float(p))
         for side, pos in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            picks.append(
-                F.max(F.when((first <= pos) & (last >= pos), F.col(value).cast("double"))).alias(
-                    f"_{name}_{side}"
-                )
-            )
-        picks.append(F.max(at - F.floor(at)).alias(f"_{name}_w"))
-    wide = ranked.groupBy(*keys).agg(*picks)
+            entry = (F.lit(f"_{name}_{side}"), pos.cast("long"), at - F.floor(at))
+            wanted.append(F.struct(*[c.alias(n) for c, n in zip(entry, ("pick", "pos", "w"), strict=True)]))
+    before = F.col("_upto") - F.col("_t")
+    places = totals.withColumn("_x", F.explode(F.array(*wanted))).filter(
+        (F.col("_x.pos") >= before) & (F.col("_x.pos") < F.col("_upto"))
+    )
+    places = materialise(places.select(*keys, SLICE, (F.col("_x.pos") - before).alias("_pos"), "_x.pick", "_x.w"), "places")
+    inside = Window.partitionBy(*keys, SLICE).orderBy(value)
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = null_safe(sliced, places.select(*keys, SLICE).distinct(), [*keys, SLICE], "left_semi")
+    ranked = held.withColumn("_last", F.sum("_n").over(inside))
+    # the value covering 0-based position p is the one with last - n <= p < last
+    met = null_safe(ranked, places, [*keys, SLICE]).filter(
+        (F.col("_pos") < F.col("_last")) & (F.col("_pos") >= F.col("_last") - F.col("_n"))
+    )
+    picks = [
+        F.max(F.when(F.col("pick") == f"_{n}_{side}", source)).alias(f"_{n}_{end}")
+        for n in probs
+        for side, end, source in (
+            ("lo", "lo", F.col(value).cast("double")),
+            ("hi", "hi", F.col(value).cast("double")),
+            ("lo", "w", F.col("w")),
+        )
+    ]
+    wide = met.groupBy(*keys).agg(*picks)
     return wide.select(
         *keys,
         *[
