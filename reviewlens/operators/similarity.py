@@ -14,6 +14,7 @@ How it stays bounded whatever the size of a business or of a group of copies:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,7 @@ from reviewlens.operators.ordered import join_heavy, shuffle_partitions
 from reviewlens.schemas import FuseConfig, ScanConfig
 from reviewlens.sources.scratch import materialise
 
+PAIR_ROWS = 256
 CHUNK = 1024
 
 
@@ -584,34 +586,39 @@ def fuse_unmatched(text: DataFrame, scores: DataFrame, key: str = "seq") -> Data
 
 
 def _pair_cell(threshold: float):
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The pairs of a cell, a chunk of its rows at a time."""
+
+    def run(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         x, rep, w = _matrix(table), table.column("rep").to_numpy(), table.column("w").to_numpy()
         own, against = _sides(key, table)[0]
-        found = []
-        for start in range(0, len(own), CHUNK):
-            rows = own[start : start + CHUNK]
+        for start in range(0, len(own), PAIR_ROWS):
+            rows = own[start : start + PAIR_ROWS]
             sims = x[rows] @ x[against].T
             i, j = np.nonzero(sims >= threshold)
             keep = rep[rows][i] < rep[against][j] if own is against else rep[rows][i] != rep[against][j]
-            found.append((rows[i[keep]], against[j[keep]], sims[i[keep], j[keep]]))
-        a, b = (np.concatenate([f[s] for f in found] or [np.empty(0, int)]) for s in (0, 1))
-        low, high = np.where(rep[a] < rep[b], a, b), np.where(rep[a] < rep[b], b, a)
-        return pa.table(
-            {
-                "business": pa.repeat(table.column("business")[0], len(a)),
+            a, b, near = rows[i[keep]], against[j[keep]], sims[i[keep], j[keep]]
+            low, high = np.where(rep[a] < rep[b], a, b), np.where(rep[a] < rep[b], b, a)
+            columns = {
+                "business": pa.array([key[0].as_py()] * len(a), table.schema.field("business").type),
                 "seq_a": pa.array(rep[low]),
                 "seq_b": pa.array(rep[high]),
                 "copies_a": pa.array(w[low]),
                 "copies_b": pa.array(w[high]),
-                "sim": pa.array(np.concatenate([f[2] for f in found] or [np.empty(0)])),
+                "sim": pa.array(near),
             }
-        )
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
 
 def similar_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of distinct texts of a business at or above the threshold, with their copy counts."""
+    """Pairs of distinct texts of a business at or above the threshold, with their copy counts.
+
+    The output grows with the pairs, so no flow uses it; a task holds the pairs of PAIR_ROWS rows at a time.
+    """
     kind = blocks.schema["business"].dataType.simpleString()
     cells = _cells(blocks.select("business", "rep", "w", "vector", "block", "blocks"))
     return cells.groupBy("business", "cell_a", "cell_b").applyInArrow(
