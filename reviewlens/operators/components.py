@@ -5,16 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlens.operators.ordered import join_heavy
 from reviewlens.sources.scratch import materialise
 
 
 def _star(directed: DataFrame) -> DataFrame:
     """For every u, links its neighbours v to the smallest of u and all v."""
-    least = directed.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
-    least = least.withColumn("m", F.least("u", "m"))
-    # a hub may be the neighbour of most vertices: its rows are cut into pieces
-    return join_heavy(directed, least, ["u"], "degree", "v")
+    least = directed.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # a hub may be the neighbour of most vertices; next to a written table its rows can be split at run time
+    return directed.join(materialise(least, "least"), "u")
 
 
 def _digest(edges: DataFrame) -> tuple:
