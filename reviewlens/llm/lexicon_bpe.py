@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewlens.llm.arrays import pieces
+from reviewlens.sources.scratch import materialise
 
 #: Words in the automaton: a bound for what is broadcast, not for what is encoded exactly.
 LEXICON_WORDS = 65_536
 #: Words a worker remembers; it works out the others each time.
-MEMO = 300_000
+MEMO = 200_000
 #: Texts of these characters need no Unicode tables: ASCII and the precomposed Latin letters.
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-įı-ſ]*")
 _LETTER = "a-zß-öø-ſ"
@@ -203,9 +204,11 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, vocabulary: bytes, text: str = "text", words: int = LEXICON_WORDS) -> bytes:
-    """The compiled lexicon of the ``words`` most frequent words of all texts, ties to the smaller word.
+    """The compiled lexicon of the most frequent words of all texts, at most ``words`` of them.
 
-    Words are counted in the tasks before the shuffle; only the bounded lexicon reaches the driver.
+    Words are counted in the tasks before the shuffle. Frequencies fall into classes a hundredth of a power of e wide;
+    the classes from the top that hold at most ``words`` words are taken whole, so only the class sizes and the
+    bounded lexicon reach the driver.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,9 +222,19 @@ def frequent_words(docs: DataFrame, vocabulary: bytes, text: str = "text", words
             )
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(count, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
+    counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    level = F.floor(F.log("n") * 100).cast("int")
+    counted = materialise(counted.select("word", level.alias("level")), "words")
+    sizes = counted.groupBy("level").agg(F.count("*").alias("n")).collect()  # a few thousand classes
+    room, lowest = words, None
+    for r in sorted(sizes, key=lambda r: -r.level):
+        room -= r.n
+        if room < 0:
+            break
+        lowest = r.level
+    top = counted.filter(F.col("level") >= (lowest if lowest is not None else 1 << 30)).select("word")
     merge = _vocabulary(vocabulary).merge
-    return compile_lexicon((r.word, merge(r.word)) for r in top.select("word").collect())
+    return compile_lexicon((r.word, merge(r.word)) for r in top.collect())
 
 
 class Encoder:
