@@ -27,8 +27,8 @@ REGISTERS, BANDS = 128, 32
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
 #: Estimates below this are dropped: five standard errors under 0.8.
 LEAST_ESTIMATE = 0.62
-#: Rounds in which members of a mixed bucket meet two of its members each, before all that are left meet.
-ROUNDS = 3
+#: Open members of a bucket that meet pair by pair; larger buckets meet in blocks of that many, by matrix products.
+BLOCK, CELL_COLUMNS = 256, 8192
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -146,6 +146,34 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["rep", "members"])
 
 
+def _cell(key: tuple, table: pa.Table) -> pa.Table:
+    """Links between the components of two blocks of a bucket, one for each pair of components.
+
+    Shared shingles are counted by products of 0/1 matrices, some columns at a time; no pair becomes a row.
+    """
+    block = table.column("block").to_numpy()
+    sides = [np.flatnonzero(block == key[k].as_py()) for k in (1, 2)]
+    lists = table.column("members").combine_chunks()
+    owner = np.repeat(np.arange(table.num_rows), np.diff(lists.offsets.to_numpy()))
+    _, at, count = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[at]
+    shared = np.zeros((len(sides[0]), len(sides[1])), np.float64)
+    for low in range(0, int((count > 1).sum()), CELL_COLUMNS):
+        some = (column >= low) & (column < low + CELL_COLUMNS)
+        has = np.zeros((table.num_rows, CELL_COLUMNS), np.float32)
+        has[owner[some], column[some] - low] = 1
+        shared += has[sides[0]] @ has[sides[1]].T
+    rep, n, component = (table.column(c).to_numpy() for c in ("rep", "n", "component"))
+    union = n[sides[0]][:, None] + n[sides[1]][None, :] - shared
+    apart = component[sides[0]][:, None] != component[sides[1]][None, :]
+    i, j = np.nonzero((shared * 100 >= union * SHARE) & apart)
+    a, b = sides[0][i], sides[1][j]
+    ends = np.sort(np.column_stack([component[a], component[b]]), axis=1)
+    _, one = np.unique(ends, axis=0, return_index=True)
+    low, high = np.minimum(rep[a[one]], rep[b[one]]), np.maximum(rep[a[one]], rep[b[one]])
+    return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
+
+
 class Linker:
     """Confirms pairs of sets once each, and knows all links so far."""
 
@@ -155,8 +183,19 @@ class Linker:
         self.full: DataFrame | None = None
         self.links: DataFrame | None = None
 
-    def test(self, pairs: DataFrame) -> None:
-        """Confirms the pairs (a < b) that are new."""
+    def members(self, reps: DataFrame) -> DataFrame:
+        """(rep, members) of these representatives, whose texts are read again where they weren't yet."""
+        if self.full is not None:
+            reps = reps.join(self.full, "rep", "left_anti")
+        fresh = self.docs.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+        fresh = fresh.mapInArrow(_full, "rep long, members array<long>")
+        # a doc_id that rows share stands for the first of its sets
+        fresh = materialise(fresh.dropDuplicates(["rep"]), "sets")
+        self.full = fresh if self.full is None else self.full.unionByName(fresh)
+        return self.full
+
+    def test(self, pairs: DataFrame) -> bool:
+        """Confirms the pairs (a < b) that are new; whether there are links among them."""
         pairs = pairs.distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
@@ -171,27 +210,64 @@ class Linker:
         close = close.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely, "a long, b long, na long, nb long")
         close = materialise(close, "likely")
         if close.isEmpty():
-            return
-        wanted = close.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        if self.full is not None:
-            wanted = wanted.join(self.full, "rep", "left_anti")
-        fresh = self.docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-        fresh = materialise(fresh.mapInArrow(_full, "rep long, members array<long>"), "sets")
-        self.full = fresh if self.full is None else self.full.unionByName(fresh)
-        ours, others = (
-            self.full.select(F.col("rep").alias(x), F.col("members").alias(f"m{x}")) for x in ("a", "b")
-        )
+            return False
+        full = self.members(close.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
+        ours, others = (full.select(F.col("rep").alias(x), F.col("members").alias(f"m{x}")) for x in ("a", "b"))
         both = close.join(ours, "a").join(others, "b")
         both = both.withColumn("shared", F.size(F.array_intersect("ma", "mb")))
         linked = F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * SHARE
         found = materialise(both.filter(linked).select("a", "b"), "links")
+        if found.isEmpty():
+            return False
         self.links = found if self.links is None else self.links.unionByName(found)
+        return True
+
+    def test_hot(self, hot: DataFrame) -> bool:
+        """All members (bucket, rep, n, component, blocks) of hot buckets against each other, block by block."""
+        own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
+        rows = hot.withColumn("block", own).withColumn("_other", other)
+        ends = {"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}
+        rows = rows.withColumns(ends).join(self.members(hot.select("rep").distinct()), "rep")
+        rows = rows.select("bucket", "low", "high", "block", "rep", "n", "component", "members")
+        found = rows.groupBy("bucket", "low", "high").applyInArrow(_cell, "a long, b long")
+        found = materialise(found.distinct(), "links")
+        if found.isEmpty():
+            return False
+        self.links = found if self.links is None else self.links.unionByName(found)
+        return True
 
     def components(self) -> DataFrame:
         """(rep, component) of every set with a link."""
         found = connected_components(self.links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         return materialise(found.select(F.col("vertex").alias("rep"), "component"), "components")
 
+    def open_members(self, buckets: DataFrame, components: DataFrame | None) -> DataFrame:
+        """The rows (bucket, rep, n) that may still be linked to another component, with component and ``outside``.
+
+        ``outside`` is how many of a set's shingles also occur in another component that shares a mixed bucket with
+        anything. It bounds what the set can share with a set of another component, so a set with fewer than
+        SHARE hundredths of its shingles outside has no link left to find.
+        """
+        placed = buckets.withColumn("component", F.col("rep"))
+        if components is not None:
+            placed = buckets.join(components, "rep", "left")
+            placed = placed.withColumn("component", F.coalesce("component", "rep"))
+        mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        placed = placed.join(mixed.filter("low <> high").select("bucket"), "bucket")
+        placed = materialise(placed.select("bucket", "rep", "n", "component"), "mixed")
+        if placed.isEmpty():
+            return placed
+        own = placed.select("rep", "component").distinct()
+        shingles = own.join(self.members(own.select("rep")), "rep").select(
+            "rep", "component", F.explode("members").alias("shingle")
+        )
+        spread = shingles.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        spread = materialise(spread.filter("low <> high").select("shingle"), "spread")
+        outside = shingles.join(spread, "shingle").groupBy("rep").agg(F.count("*").alias("outside"))
+        left = placed.join(outside, "rep").filter(F.col("outside") * 100 >= F.col("n") * SHARE)
+        return materialise(left, "open")
+
 
 def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
@@ -206,9 +282,10 @@ def cluster(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFra
     far as links go; a null doc_id is linked with nothing and not kept. An empty table gives no rows.
 
     Equal sets are one representative from the start, so copies cost nothing beyond their own row. In each
-    bucket every member meets the least one; buckets that still hold more than one component go on, each member
-    meeting two others of another component a round, and last all members of different components that are
-    left. No bucket, however large, is capped or held by one task.
+    bucket every member meets the least one. In buckets that then hold more than one component, sets too few of
+    whose shingles occur in other components are done: they can have no further link. The others meet the one of
+    the bucket that shares most, and what is still open after that meets pair by pair, if the shingles that
+    both have outside could suffice, or block by block in a hot bucket. No bucket is capped or held by one task.
     """
     docs = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = materialise(
@@ -224,35 +301,35 @@ def cluster(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFra
     members = materialise(banded.join(buckets, "bucket").select("bucket", "rep", "n", "first"), "members")
 
     linker = Linker(docs, sets.select("rep", "n", "registers"))
-    linker.test(members.filter("rep <> first").select(*_pair("rep", "first")))
-    components = None
-    for turn in range(ROUNDS + 1):
-        placed = members.withColumn("component", F.col("rep"))
-        if linker.links is not None and not linker.links.isEmpty():
+    linked = linker.test(members.filter("rep <> first").select(*_pair("rep", "first")))
+    members = members.drop("first")
+    components = linker.components() if linked else None
+    left = linker.open_members(members, components)
+    if not left.isEmpty():
+        # those that share most with others come first: what resembles anything in the bucket resembles them
+        order = F.struct((F.col("outside") / F.col("n")).alias("share"), "rep", "component")
+        first = left.groupBy("bucket").agg(F.max(order).alias("x"))
+        met = left.join(first, "bucket").filter("component <> x.component").withColumn("other", F.col("x.rep"))
+        if linker.test(met.select(*_pair("rep", "other"))):
             components = linker.components()
-            placed = members.join(components, "rep", "left")
-            placed = placed.withColumn("component", F.coalesce("component", "rep"))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = mixed.filter("low <> high").select("bucket")
-        placed = materialise(placed.join(mixed, "bucket").select("bucket", "rep", "n", "component"), "mixed")
-        if placed.isEmpty():
-            break
-        if turn < ROUNDS:
-            order = F.struct(F.xxhash64("rep", "bucket", F.lit(turn)).alias("h"), "rep", "component")
-            ends = placed.groupBy("bucket").agg(F.min(order).alias("x"), F.max(order).alias("y"))
-            met = placed.join(ends, "bucket")
-            other = F.when(F.col("component") != F.col("x.component"), F.col("x.rep")).otherwise(
-                F.when(F.col("component") != F.col("y.component"), F.col("y.rep"))
-            )
-            pairs = met.withColumn("other", other).filter("other is not null")
-        else:
-            others = placed.withColumnsRenamed({"rep": "other", "n": "size", "component": "theirs"})
-            near = F.least("n", "size") * 100 >= F.greatest("n", "size") * SHARE
-            apart = (F.col("rep") < F.col("other")) & (F.col("component") != F.col("theirs"))
-            pairs = placed.join(others, "bucket").filter(apart & near)
-        before = linker.links
-        linker.test(pairs.select(*_pair("rep", "other")))
-        if turn == ROUNDS and linker.links is not before:
+            left = linker.open_members(left.select("bucket", "rep", "n"), components)
+    if not left.isEmpty():
+        # a pair meets in the first of its buckets only
+        left = left.join(left.groupBy("rep").agg(F.collect_set("bucket").alias("buckets")), "rep")
+        others = left.withColumnsRenamed({c: f"{c}_2" for c in ("rep", "n", "component", "outside", "buckets")})
+        apart = (F.col("rep") < F.col("rep_2")) & (F.col("component") != F.col("component_2"))
+        # as many as both have outside may be shared
+        most = F.least("outside", "outside_2")
+        enough = most * (100 + SHARE) >= (F.col("n") + F.col("n_2")) * SHARE
+        once = F.array_min(F.array_intersect("buckets", "buckets_2")) == F.col("bucket")
+        sizes = left.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        left = materialise(left.join(sizes, "bucket"), "left")
+        small = left.filter("blocks = 1").join(others, "bucket").filter(apart & enough & once)
+        found = linker.test(small.select(*_pair("rep", "rep_2")))
+        hot = left.filter("blocks > 1").select("bucket", "rep", "n", "component", "blocks")
+        if not hot.isEmpty():
+            found = linker.test_hot(hot) or found
+        if found:
             components = linker.components()
 
     known = sets.select("k1", "k2", "n", "rep")

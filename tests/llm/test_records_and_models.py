@@ -113,7 +113,10 @@ def brute_components(docs):
     return {(d, len(sets[d]), find(d), find(d) == d) for d in ids}
 
 
-def test_components_equal_brute_force(spark):
+@pytest.mark.parametrize("block,columns", [(256, 8192), (3, 16)])
+def test_components_equal_brute_force(spark, monkeypatch, block, columns):
+    monkeypatch.setattr(setsketch, "BLOCK", block)
+    monkeypatch.setattr(setsketch, "CELL_COLUMNS", columns)
     r = random.Random(9)
     words = [f"w{k}" for k in range(400)]
     docs, base = [], [r.choice(words) for _ in range(90)]
@@ -123,6 +126,12 @@ def test_components_equal_brute_force(spark):
             base[r.randrange(len(base))] = r.choice(words)
         docs.append((k * 7 % 120, " ".join(base)))
     docs += [(200 + k, docs[3][1].upper()) for k in range(60)]
+    far = [r.choice(words) for _ in range(100)]
+    for k in range(80):  # copies of one text, each too far from most others
+        own = far.copy()
+        for at in r.sample(range(100), 1 + k % 4):
+            own[at] = f"own{k}-{at}"
+        docs.append((500 + k, " ".join(own)))
     docs += [(300 + k, " ".join(r.choice(words) for _ in range(r.randint(0, 8)))) for k in range(60)]
     docs += [(400, None), (401, ""), (402, " \n"), (403, "one"), (404, "ONE"), (405, "É a"), (406, "é a"), (407, "\x1fa b")]
     df = spark.createDataFrame([(*x, 1) for x in docs], DOC + ", n_shingles int").repartition(5)
