@@ -28,7 +28,7 @@ BASE, RATE, LIMIT = 1.001, 20.0, 65534
 #: Estimates below this are dropped: five standard errors under 0.8.
 LEAST_ESTIMATE = 0.62
 #: Open members of a bucket that meet pair by pair; larger buckets meet in blocks of that many, by matrix products.
-BLOCK, CELL_COLUMNS = 256, 8192
+BLOCK, CELL_COLUMNS = 2048, 2048
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
