@@ -226,6 +226,42 @@ def test_seating_has_the_right_distribution():
     assert np.abs(got - np.array(weight) / sum(weight)).max() < 0.02
 
 
+def test_seating_of_many_customers_has_the_right_distribution():
+    """A thousand customers of one dish, from the first seating through the moves of a run."""
+    c, rest, n = 1000, 20, 4000
+    for d, p in ((0.5, 0.3), (0.8, 0.9), (0.3, 0.01)):
+        log = np.full(c + 1, -np.inf)
+        log[0] = 0.0
+        for m in range(1, c + 1):  # row by row; m - 1 - k d is only needed for k < m
+            stay = log + np.log(np.maximum(m - 1 - np.arange(c + 1) * d, 1e-300))
+            stay[m:] = -np.inf
+            stay[0] = -np.inf
+            log = np.logaddexp(np.concatenate([[-np.inf], log[:-1]]), stay)
+        weight = log[1:] + np.cumsum(np.log((hpylm.THETA + d * (rest + np.arange(c))) * p))
+        weight = np.exp(weight - weight.max())
+        upto = np.cumsum(weight) / weight.sum()
+        odds, random_ = hpylm.seating_odds(d), np.random.default_rng(1)
+        t = np.full(n, int(c**d))
+        for moves in [hpylm.BURN] + [hpylm.MOVES] * (hpylm.SAMPLES - 1):
+            before = t
+            t = hpylm.resample(np.full(n, c), t, np.full(n, p), t + rest, odds, d, moves, random_)
+            got = np.cumsum(np.bincount(t, minlength=c + 1)[1:]) / n
+            assert np.abs(got - upto).max() < 0.035
+        assert abs(np.corrcoef(before, t)[0, 1]) < 0.3  # one sample says little of the next
+
+
+def test_table_counts_of_any_number_of_customers():
+    """One table has the known weight, and a million customers are not left at the first seating."""
+    for c in (10**3, 10**6, 10**9):
+        exact = math.log(0.7) + math.lgamma(c - 0.7) - math.lgamma(0.3) - math.lgamma(c + 1)
+        assert abs(hpylm.log_tables(np.array([c]), np.array([1]), 0.7)[0] - exact) < 1e-4
+    c, d, n = 10**6, 0.5, 500
+    first = np.full(n, int(c**d))
+    args = hpylm.seating_odds(d), d, hpylm.BURN, np.random.default_rng(2)
+    t = hpylm.resample(np.full(n, c), first, np.full(n, 0.1), first + 1000, *args)
+    assert np.abs(t - first).mean() > 12 * hpylm.SAMPLES and t.std() > hpylm.SAMPLES
+
+
 ALPHABET = ["a", "th", "ing", " ", "  ", "\n", "É", "ß", "İ", "Σ", "'s", "'", "12", "½", "é", "\x1c", "\x85", "\xa0", "😀", "漢字",
             "<|endoftext|>", "<|", "<s>", "</s>", "▁", ".", "!!", "ª", "ſ", "\x00", "　", "ﬁ", "the", " of"]
 
