@@ -104,7 +104,7 @@ FROM full_pages LEFT JOIN firsts USING (payload_digest)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a capture, read back and assembled."""
     path = scratch_path(spark, "archives")
-    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    warc.write_archives(table(spark, sf_dir, "pages"), path, repeats=True)
     found = warc.captures(warc.read_archives(spark, path))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

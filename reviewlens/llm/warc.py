@@ -54,14 +54,16 @@ def _urn(what: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
-def write_archives(pages: DataFrame, path: str, file_records: int = FILE_RECORDS, floor: int = 100_000) -> None:
+def write_archives(
+    pages: DataFrame, path: str, file_records: int = FILE_RECORDS, floor: int = 100_000, repeats: bool = False
+) -> None:
     """Writes (page_id, url, html) as archives under ``path``.
 
     Of the captures with equal payloads of at least 100 bytes the one of smallest page_id holds the payload, the
     others are revisits that refer to it; smaller payloads are all stored. A null html is an empty payload,
     a null url has no target, a null page_id comes after all others; line breaks and controls in a url are
-    percent-encoded. Rows that agree in page_id, url and html are one capture. Other columns are left
-    out. An empty table writes no records.
+    percent-encoded. Rows that agree in page_id, url and html are one capture, or with ``repeats`` a capture
+    each. Other columns are left out. An empty table writes no records.
 
     The choice is made on digests: a group of copies of any size is one row per task, then joined back in
     pieces of at least ``floor`` rows.
@@ -72,7 +74,8 @@ def write_archives(pages: DataFrame, path: str, file_records: int = FILE_RECORDS
     digest = F.sha2("html", 256)
     known = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")), F.coalesce("url", F.lit("-")), digest)
     named = pages.withColumns({"digest": digest, "n": F.octet_length("html"), "rid": _urn(known)})
-    narrow = materialise(named.select("page_id", "digest", "n", "rid").distinct(), "captures")
+    narrow = named.groupBy("page_id", "digest", "n", "rid").agg(F.count("*").alias("times"))
+    narrow = materialise(narrow, "captures")
     order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "rid")
     groups = narrow.filter(F.col("n") >= LEAST_REVISIT).groupBy("digest")
     groups = groups.agg(F.min(order).alias("first"), F.count("*").alias("copies")).filter("copies > 1")
@@ -81,6 +84,8 @@ def write_archives(pages: DataFrame, path: str, file_records: int = FILE_RECORDS
     revisits = materialise(placed.filter("rid <> response").select("rid", "response"), "revisits")
     # a payload travels only if the revisits are too many to broadcast
     rows = named.join(revisits, "rid", "left")
+    if repeats:
+        rows = _numbered(rows, narrow.filter("times > 1").select("rid", "times"), floor)
     again = F.col("response").isNotNull()
     target = _header("WARC-Target-URI", F.col("url"))
     payload = _header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")))
@@ -120,6 +125,25 @@ def write_archives(pages: DataFrame, path: str, file_records: int = FILE_RECORDS
     writer.option("maxRecordsPerFile", file_records).text(path)
 
 
+def _numbered(rows: DataFrame, repeated: DataFrame, floor: int) -> DataFrame:
+    """``rows`` with a rid of its own for each of equal rows: the first keeps it, the others add their number.
+
+    Equal rows need no order: one of them meets the numbers, in pieces of at least ``floor``.
+    """
+    if repeated.isEmpty():
+        return rows
+    one = rows.join(repeated, "rid").dropDuplicates(["rid"])
+    # some numbers at a time, so that no array is as long as a group
+    starts = F.sequence(F.lit(1).cast("long"), F.col("times") - 1, F.lit(10_000).cast("long"))
+    numbers = repeated.select("rid", "times", F.explode(starts).alias("start"))
+    last = F.least(F.col("times") - 1, F.col("start") + 9_999)
+    numbers = numbers.select("rid", F.explode(F.sequence("start", last)).alias("number"))
+    more = join_heavy(numbers, one, ["rid"], "times", "number", "inner", floor=floor)
+    more = more.withColumn("rid", _urn(F.concat_ws("|", "rid", F.col("number").cast("string"))))
+    rest = rows.join(repeated, "rid", "left_anti")
+    return rest.unionByName(one.select(*rows.columns)).unionByName(more.select(*rows.columns))
+
+
 def _fields(lines: bytes) -> dict[str, str]:
     """Named fields of a header block, names in lower case, the last of a name."""
     found = {}

@@ -45,6 +45,25 @@ def test_archives_come_back_as_written(spark):
     assert warc.captures(warc.read_archives(spark, empty)).isEmpty()
 
 
+def test_repeated_pages_come_back_each(spark, tmp_path):
+    """op3 on a table with repeated rows returns what its SQL returns."""
+    import duckdb
+
+    from reviewlens.llm import queries
+
+    pages = [(1, "a", "x" * 100)] * 3 + [(2, "a", "x" * 100)] * 2 + [(3, "u", "short")] * 2 + [(4, None, None)] * 40 + [(5, "v", "z")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    df.write.parquet(str(tmp_path / "pages.parquet"))
+    found = sorted(tuple(x) for x in queries.op3(spark, str(tmp_path)).collect())
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    names = "page_id, payload_bytes, payload_digest, record_type, refers_to"
+    assert sorted(map(str, found)) == sorted(map(str, db.execute(f"SELECT {names} FROM ({queries.OP3_SQL})").fetchall()))
+    path = scratch_path(spark, "archives")
+    warc.write_archives(df, path, floor=10, repeats=True)
+    assert warc.captures(warc.read_archives(spark, path)).count() == len(pages)
+
+
 def test_records_of_plain_and_memberwise_archives():
     import gzip
 
