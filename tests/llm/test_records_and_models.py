@@ -380,3 +380,9 @@ def test_stages_take_odd_tables(spark):
     # without letters, and nothing else
     kept = corpus_pipeline.drop_languageless(spark, odd, sf)
     assert odd.count() - kept.count() == 2
+
+
+def test_letterless_texts_go_without_a_language(spark):
+    rows = [(1, "words here", None), (2, "12 34", None), (3, None, None), (4, "漢字", None)]
+    df = spark.createDataFrame(rows, DOC + ", lang string")
+    assert {x.doc_id for x in corpus_pipeline.drop_languageless(spark, df, "").collect()} == {1, 4}
