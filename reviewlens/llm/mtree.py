@@ -117,7 +117,10 @@ def _lift(rows: np.ndarray, norm: float) -> np.ndarray:
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:k]
+    """The places of the k best ids, each with its best score."""
+    order = np.lexsort((ids, -scores))
+    _, first = np.unique(ids[order], return_index=True)
+    return order[np.sort(first)[:k]]
 
 
 def top_k(
@@ -128,7 +131,8 @@ def top_k(
 
     Both tables have vec_id (long) and v (array of long, null: takes no part); products must fit in a long.
     Ties go to the smaller vec_id. A query never finds its own vec_id; fewer candidates than k give fewer rows;
-    only vectors of a query's own length are its candidates; rows that repeat a vec_id and vector count once;
+    only vectors of a query's own length are its candidates; rows that repeat a vec_id and vector count once,
+    a vec_id with several vectors is one candidate with its best score;
     rows with a null vec_id and empty vectors take no part; other columns are left out. Empty tables give
     no rows. The result does not depend on the pivots.
 
@@ -225,8 +229,10 @@ def top_k(
     first = first.filter(nearest).withColumn("chunk", chunk).withColumn("bound", F.lit(float("-inf")))
     near = materialise(run(first.select("vec_id", "v", "dim", "region", "chunk", "bound")), "near")
     order = F.struct((-F.col("score")).alias("s"), "vec_id")
-    bounds = near.groupBy(F.col("query_id").alias("vec_id")).agg(
-        F.sort_array(F.collect_list(F.col("score")), asc=False).alias("scores")  # at most k
+    # an id counts once, also if it or the query's id has several vectors
+    own = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    bounds = own.groupBy(F.col("query_id").alias("vec_id")).agg(
+        F.sort_array(F.collect_list(F.col("score")), asc=False).alias("scores")  # at most k for each of its vectors
     ).select("vec_id", F.get("scores", F.lit(k - 1)).alias("bound"))
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

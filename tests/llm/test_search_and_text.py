@@ -215,3 +215,11 @@ def test_features_see_hidden_words_and_shouting():
     assert at(0, "density") == 1.0 and at(0, "addressed") > 0 and at(0, "hidden") == 0
     assert at(1, "density") == 0 and at(1, "hidden") > 0 and at(1, "digits") > 0
     assert at(2, "shouted") == 1.0 and at(2, "exclaimed") > 0 and (found[3:] == 0).all()
+
+
+def test_an_id_with_several_vectors_is_one_candidate(spark):
+    rows = [(1, [100 + k, 1]) for k in range(30)] + [(k, [k, 0]) for k in range(2, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    ask = spark.createDataFrame([(1000, [1, 0])], "vec_id long, v array<long>")
+    found = sorted((x["rank"], x.vec_id, x.score) for x in mtree.top_k(df, ask, tree_rows=8, page=4).collect())
+    assert found == [(1, 1, 129)] + [(k + 2, 39 - k, 39 - k) for k in range(9)]
