@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import chat, decontaminate, hpylm, langid, lexicon_bpe, mtree, setsketch, tokencount, toxicity, warc
+from reviewlens.llm import (
+    chat,
+    decontaminate,
+    divergence,
+    fim,
+    hpylm,
+    langid,
+    lexicon_bpe,
+    mtree,
+    setsketch,
+    suffixes,
+    tokencount,
+    toxicity,
+    warc,
+)
 from reviewlens.sources.scratch import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -240,3 +254,97 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+OP11_SQL = r"""
+WITH own AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM own
+), kept AS (SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (
+  SELECT lang, any_value(v) AS v, sum(c) AS n FROM counts JOIN (SELECT lang, count(*) AS v FROM kept GROUP BY lang) USING (lang) GROUP BY lang
+), named AS (SELECT DISTINCT lang, source FROM own),
+sums AS (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c, 0) + 5)) // CAST(coalesce(sums.n, 0) + 5 * langs.v AS HUGEINT) AS p
+  FROM named JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN sums USING (lang, source) LEFT JOIN counts USING (lang, source, term)
+), whole AS (
+  SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(c) + 5)) // CAST(any_value(n) + 5 * any_value(v) AS HUGEINT) AS q
+  FROM counts JOIN langs USING (lang) GROUP BY ALL
+), far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM named a JOIN named b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM shares JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+@query("op11_source_divergence", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source of every language against the others and against the language."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query("op12_suffix_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated passages."""
+    found = suffixes.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x.end - x.begin)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH own AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), drawn AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, [CAST(('0x' || h[1 + 8 * k:8 + 8 * k]) AS BIGINT) for k in range(4)] AS x FROM own
+), cut AS (
+  SELECT doc_id, text, n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 100
+      THEN 'plain' WHEN x[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(units[1:least(x[1] % (n + 1), x[2] % (n + 1))], '') AS prefix,
+    array_to_string(units[least(x[1] % (n + 1), x[2] % (n + 1)) + 1:greatest(x[1] % (n + 1), x[2] % (n + 1))], '') AS middle,
+    array_to_string(units[greatest(x[1] % (n + 1), x[2] % (n + 1)) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut by lines, and read back from the output."""
+    found = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length("prefix").cast("long").alias("prefix_chars"),
+        F.length("middle").cast("long").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
