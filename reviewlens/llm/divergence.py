@@ -27,6 +27,7 @@ from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import partial
 from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,10 @@ SIDE = 2048
 LETTER = np.zeros(256, dtype=bool)
 LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
 
-RUNS = "lang string, shard int, terms array<string>, sources array<string>, counts array<long>, docs array<long>"
+RUNS = (
+    "lang string, shard int, terms array<string>, docs array<long>, widths array<int>, sources array<string>, counts array<long>"
+)
+RUN_COLUMNS = ["lang", "shard", "terms", "docs", "widths", "sources", "counts"]
 KEPT = "lang string, term string, source string, count long, total long, lead boolean"
 
 
@@ -119,13 +123,18 @@ class Block:
         order = np.lexsort((source_of[group], rank[code], shard, lang_of[group]))
         code, group, count, docs, shard = (x[order] for x in (code, group, count, docs, shard))
         run = lang_of[group] * shards + shard
-        first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-        lists = pa.array(np.append(first, len(run)), pa.int32())
-        columns = [names.take(pa.array(code)), sources.take(pa.array(group)), pa.array(count), pa.array(docs)]
-        made = [pa.ListArray.from_arrays(lists, values) for values in columns]
-        head = [langs.take(pa.array(group[first])), pa.array(shard[first], pa.int32())]
-        table = pa.RecordBatch.from_arrays([*head, *made], ["lang", "shard", "terms", "sources", "counts", "docs"])
-        yield from pieces_of_rows(table, 256)
+        fresh = np.concatenate([[True], run[1:] != run[:-1]])
+        first, term = np.flatnonzero(fresh), np.flatnonzero(fresh | np.concatenate([[True], code[1:] != code[:-1]]))
+        by_entry = pa.array(np.append(first, len(run)), pa.int32())
+        by_term = pa.array(np.append(np.searchsorted(term, first), len(term)), pa.int32())
+        widths = pa.array(np.diff(np.append(term, len(run))), pa.int32())
+        columns = [
+            langs.take(pa.array(group[first])),
+            pa.array(shard[first], pa.int32()),
+            *[pa.ListArray.from_arrays(by_term, x) for x in (names.take(pa.array(code[term])), pa.array(np.add.reduceat(docs, term)), widths)],
+            *[pa.ListArray.from_arrays(by_entry, x) for x in (sources.take(pa.array(group)), pa.array(count))],
+        ]
+        yield from pieces_of_rows(pa.RecordBatch.from_arrays(columns, RUN_COLUMNS), 256)
 
 
 def pieces_of_rows(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
@@ -152,10 +161,19 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(i)[at] for i, name in enumerate(batch.schema.names)}
 
 
+def _entries(run: dict) -> Iterator[tuple[str, int, list[str], list[int]]]:
+    """The terms of a run in order, each with its rows, sources and counts."""
+    terms, docs, widths, sources, counts = (run[c].values.to_pylist() for c in RUN_COLUMNS[2:])
+    at = 0
+    for term, in_rows, width in zip(terms, docs, widths, strict=True):
+        yield term, in_rows, sources[at : at + width], counts[at : at + width]
+        at += width
+
+
 def merge_runs(batches: Iterable[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
     """Frequencies of the terms in ``min_docs`` rows of their language at least, from runs sorted by language and shard.
 
-    One term's entries of all blocks pass through the heap; only the sums of its sources are held.
+    The heap holds one term of each run; only the sums of one term's sources are held.
     """
     schema = pa.schema(
         [("lang", pa.string()), ("term", pa.string()), ("source", pa.string())]
@@ -163,13 +181,14 @@ def merge_runs(batches: Iterable[pa.RecordBatch], min_docs: int) -> Iterator[pa.
     )
     out: list[list] = [[] for _ in schema]
     for (lang, _), rows in groupby(_rows(batches), lambda r: (r["lang"].as_py(), r["shard"].as_py())):
-        lists = [[r[c].values.to_pylist() for c in ("terms", "sources", "counts", "docs")] for r in rows]
-        for term, entries in groupby(heapq.merge(*[zip(*run, strict=True) for run in lists]), lambda e: e[0]):
-            counts: dict[str, int] = {}
+        runs = [_entries(r) for r in rows]
+        for term, entries in groupby(heapq.merge(*runs, key=itemgetter(0)), itemgetter(0)):
+            counts: dict[str, int] = defaultdict(int)
             in_rows = 0
-            for _, source, count, docs in entries:
-                counts[source] = counts.get(source, 0) + count
+            for _, docs, sources, times in entries:
                 in_rows += docs
+                for source, count in zip(sources, times, strict=True):
+                    counts[source] += count
             if in_rows < min_docs:
                 continue
             total = sum(counts.values())

@@ -299,23 +299,20 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP12_SQL = """
-WITH own AS (
-  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
-), windows AS (SELECT r, i, md5(substring(h, 2 * i + 1, 800)) AS w FROM (SELECT r, h, unnest(range(0, n - 399)) AS i FROM own)),
+WITH own AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS x FROM documents),
+sized AS (SELECT *, CAST(octet_length(x) AS BIGINT) AS n FROM own),
+windows AS (SELECT r, i, md5(x[i + 1:i + 400]) AS w FROM (SELECT r, x, unnest(range(0, n - 399)) AS i FROM sized)),
 starts AS (SELECT r, i FROM windows SEMI JOIN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1) USING (w)),
 marked AS (SELECT r, i, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i) > 400, true) AS fresh FROM starts),
 numbered AS (SELECT r, i, sum(CAST(fresh AS INT)) OVER (PARTITION BY r ORDER BY i) AS span FROM marked),
 spans AS (SELECT r, span, min(i) AS b, max(i) + 400 AS e FROM numbered GROUP BY ALL),
-ends AS (
-  SELECT r, b, e FROM spans UNION ALL SELECT r, n, n FROM own
-), gaps AS (SELECT r, b, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b, e), 0) AS since FROM ends),
-kept AS (
-  SELECT r, string_agg(substring(h, 2 * since + 1, 2 * (b - since)), '' ORDER BY since) AS h
-  FROM gaps JOIN (SELECT r, h FROM own) USING (r) GROUP BY r
-), sums AS (SELECT r, count(*) AS n_spans, sum(e - b) AS n_removed FROM spans GROUP BY r)
+ends AS (SELECT r, b, e FROM spans UNION ALL SELECT r, n, n FROM sized),
+gaps AS (SELECT r, b, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b, e), 0) AS since FROM ends),
+kept AS (SELECT r, string_agg(hex(x[since + 1:b]), '' ORDER BY since) AS h FROM gaps JOIN own USING (r) WHERE b > since GROUP BY r),
+sums AS (SELECT r, count(*) AS n_spans, sum(e - b) AS n_removed FROM spans GROUP BY r)
 SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-  sha256(unhex(kept.h)) AS kept_sha256
-FROM own JOIN kept USING (r) LEFT JOIN sums USING (r)
+  sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
+FROM sized LEFT JOIN kept USING (r) LEFT JOIN sums USING (r)
 """
 
 

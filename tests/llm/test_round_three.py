@@ -169,8 +169,8 @@ def test_blocks_that_spill_give_the_same_frequencies():
         runs = [r for b in divergence.block_runs(batches, 4, limit) for r in b.to_pylist()]
         runs.sort(key=lambda r: (r["lang"], r["shard"]))
         assert all(r["terms"] == sorted(r["terms"]) for r in runs)
-        kinds = [pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        cols = ("lang", "shard", "terms", "sources", "counts", "docs")
+        lists = [pa.list_(x) for x in (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64())]
+        kinds, cols = [pa.string(), pa.int32(), *lists], divergence.RUN_COLUMNS
         batch = pa.RecordBatch.from_arrays([pa.array([r[c] for r in runs], k) for c, k in zip(cols, kinds, strict=True)], cols)
         found = [tuple(r.values())[:5] for b in divergence.merge_runs([batch], 20) for r in b.to_pylist()]
         return len(runs), sorted(found)
