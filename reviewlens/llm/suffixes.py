@@ -18,7 +18,7 @@ Sorting a suffix for every byte would move each text hundreds of times. Only som
    core, then by what stands before it. A bucket sorts suffixes and reversed prefixes by multikey quicksort, eight bytes
    at a time; the common lengths of neighbours tell which windows are equal.
 4. *Boundaries.* A core may go on in the next bucket, or in many of them. The windows of a bucket's first and last core
-   are therefore also compared between buckets, by digest.
+   are therefore also compared between buckets, by the digest of each different window.
 
 No step collects a group: a gram, core or passage that a third of all rows hold is spread over buckets by what differs.
 Long texts are read in parts of ``CHUNK`` windows.
@@ -46,6 +46,8 @@ from reviewlens.sources.scratch import materialise
 PIECE = CHUNK = 1 << 20
 #: Parts that one bucket sorts.
 BUCKET = 12_000
+#: Bytes of a suffix that a splitter holds.
+LEAD = 32
 _ODD = 0x9E3779B97F4A7C15
 
 ANCHORS = "text_id binary, begin int, windows int, back int, gram long, slice binary"
@@ -237,7 +239,8 @@ def _matrix(data: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int, s
 def sort_bucket(batches: Iterable[pa.RecordBatch], length: int, step: int) -> Iterator[pa.RecordBatch]:
     """First and last repeated window of each part of a bucket, and digests of the windows that other buckets may hold.
 
-    Rows (key, content, most, least, n): n places have this content.
+    Rows (key, content, most, least, n, lead, core): n places have this content; lead and core come first in the order
+    of the splitters.
     """
     held = [b for b in batches if b.num_rows]
     if not held:
@@ -261,25 +264,27 @@ def sort_bucket(batches: Iterable[pa.RecordBatch], length: int, step: int) -> It
         out[order] = np.cumsum(common < size)
         return out
 
+    # the cores of the first and the last row in the order of the splitters may go on in other buckets
+    begun = list(zip(table.column("lead").to_pylist(), table.column("core").to_pylist(), strict=True))
+    ends = (min(begun), max(begun))
+    edge = np.fromiter((x in ends for x in begun), bool, count)
+    raw = memoryview(data)
     for back in range(step):
         rows = np.flatnonzero((least <= back) & (back <= most))
         if not len(rows):
             continue
         pair = classes(order, common, length - back)[rows] * (count + 1) + classes(back_order, back_common, back)[rows]
-        _, which, times = np.unique(pair, return_inverse=True, return_counts=True)
+        _, one, which, times = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
+        shown = rows[one][edge[rows[one]]]  # one row for each window that this bucket has, however often
+        if len(shown):
+            begin = at[:-1][shown] + most[shown] - back
+            windows = [_digest(raw[i : i + length]) for i in begin.tolist()]
+            yield _found(keys.take(pa.array(shown)), most[shown] - back, most[shown] - back, windows)
         rows = rows[(times[which] > 1) | (n[rows] > 1)]
         window = most[rows] - back
         first[rows], last[rows] = np.minimum(first[rows], window), np.maximum(last[rows], window)
     rows = np.flatnonzero(last >= 0)
     yield _found(keys.take(pa.array(rows)), first[rows], last[rows], [None] * len(rows))
-    cores = classes(order, common, length - step + 1)
-    edge = np.flatnonzero((cores == cores[order[0]]) | (cores == cores[order[-1]]))
-    raw = memoryview(data)
-    for part in np.array_split(edge, -(-len(edge) // 64)):
-        owner, place = ragged(most[part] - least[part] + 1)
-        begin = at[:-1][part][owner] + place
-        windows = [_digest(raw[i : i + length]) for i in begin.tolist()]
-        yield _found(keys.take(pa.array(part[owner])), place, place, windows)
 
 
 def _as_text(column: pa.Array) -> pa.Array:
@@ -296,7 +301,8 @@ def repeated_spans(docs: DataFrame, text: str, length: int, gram: int, step: int
     """text_id, begin, end of stretches that are in repeated windows, for all texts; stretches may overlap."""
     own = docs.select(text_id(text).alias("text_id"), F.col(text).alias("text")).filter(F.octet_length("text") >= length)
     grams = own.mapInArrow(partial(find_anchors, length=length, gram=gram, full=False), "gram long, n long")
-    shared = grams.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
+    # written, so that a join with it can split a gram that a large part of the anchors has
+    shared = materialise(grams.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "grams")
     anchors = own.mapInArrow(partial(find_anchors, length=length, gram=gram, full=True), ANCHORS)
     anchors = materialise(anchors.join(shared, "gram", "left_semi"), "anchors")
     place = F.struct("text_id", "begin", "windows", "back")
@@ -305,6 +311,7 @@ def repeated_spans(docs: DataFrame, text: str, length: int, gram: int, step: int
     whole = anchors.join(copies, ["gram", "slice"], "left_semi")
     whole = whole.select("text_id", "begin", (F.col("begin") + F.col("windows") - 1 + length).alias("end"))
     mixed = slices.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    mixed = materialise(mixed, "mixed")
     wanted = slices.join(mixed, "gram", "left_semi").groupBy("place.text_id")
     wanted = wanted.agg(F.collect_list(F.struct("place.begin", "place.windows", "place.back")).alias("wanted"))
     texts = own.groupBy("text_id").agg(F.first("text").alias("text")).join(wanted, "text_id")
@@ -314,9 +321,16 @@ def repeated_spans(docs: DataFrame, text: str, length: int, gram: int, step: int
     kinds = parts.groupBy("key", "content", "most", "least").agg(F.count("*").alias("n"))
     kinds = materialise(kinds, "kinds")
     buckets = max(1, -(-kinds.count() // BUCKET))
-    suffix, before = F.expr("substring(content, most + 1)"), F.expr("substring(content, 1, most)")
-    dealt = kinds.withColumns({"suffix": suffix, "before": before}).repartitionByRange(buckets, "suffix", "before")
-    dealt = dealt.select("key", "content", "most", "least", "n")
+    # splitters are short: the first bytes of the suffix, the core that they begin, what follows it, and all there is
+    size = length - step + 1
+    order = {
+        "lead": F.expr(f"substring(content, most + 1, {LEAD})"),
+        "core": F.xxhash64(F.expr(f"substring(content, most + 1, {size})")),
+        "after": F.expr(f"substring(content, most + 1 + {size}, {LEAD // 2})"),
+        "rest": F.xxhash64("content"),
+    }
+    dealt = kinds.withColumns(order).repartitionByRange(buckets, *order)
+    dealt = dealt.select("key", "content", "most", "least", "n", "lead", "core")
     found = materialise(dealt.mapInArrow(partial(sort_bucket, length=length, step=step), FOUND), "found")
     edges = found.filter("window is not null")
     crossing = edges.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
