@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reviewlens.operators import candidates
 from reviewlens.operators import similarity as si
 from reviewlens.plans.adapters import reviews, vectors, with_views
 from reviewlens.plans.registry import query
+from reviewlens.plans.text_queries import TOKENS
 from reviewlens.schemas import FuseConfig, ScanConfig
 
 # The test vectors are far apart, so the thresholds are low.
@@ -258,3 +260,31 @@ def fused(spark, sf):
 def unmatched(spark, sf):
     text = vectors(spark, sf).select("seq").filter("seq % 3 <> 0")
     return si.fuse_unmatched(text, si.review_scores(vectors(spark, sf), FUSE).filter("seq % 4 <> 0"))
+
+
+def near_sql(group: str) -> str:
+    return with_views(
+        """SELECT s.seq, least(s.seq, coalesce(cluster, s.seq)) AS cluster, copies FROM sets s LEFT JOIN least_of USING (seq)
+           JOIN (SELECT g, id, count(*) AS copies FROM sets GROUP BY ALL) c ON c.g = s.g AND c.id = s.id""",
+        "reviews",
+        recursive=True,
+        cut=f"SELECT seq, {group} AS g, {TOKENS} AS t FROM reviews",
+        grams="""SELECT DISTINCT seq, g, unnest([array_to_string(t[i:i + least(5, len(t)) - 1], ' ')
+                   for i in range(1, len(t) - least(5, len(t)) + 2)]) AS s FROM cut WHERE len(t) > 0""",
+        sets="SELECT seq, g, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS id FROM grams GROUP BY seq, g",
+        shared="""SELECT a.seq AS x, b.seq AS y, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.s = b.s AND a.seq <> b.seq
+                  GROUP BY ALL""",
+        links="""SELECT x, y FROM shared JOIN sets a ON a.seq = x JOIN sets b ON b.seq = y WHERE k >= 0.8 * (a.n + b.n - k)""",
+        walk="SELECT x AS seq, y AS other FROM links UNION SELECT walk.seq, y FROM walk JOIN links ON x = walk.other",
+        least_of="SELECT seq, min(other) AS cluster FROM walk GROUP BY seq",
+    )
+
+
+@query("m14_near_duplicates", near_sql("business_name"))
+def near_duplicates(spark, sf):
+    return candidates.near_duplicates(reviews(spark, sf), ["business_name"])
+
+
+@query("m14_near_duplicates_across", near_sql("''"))
+def near_duplicates_across(spark, sf):
+    return candidates.near_duplicates(reviews(spark, sf))
