@@ -3,10 +3,13 @@
 How it stays bounded whatever the size of a business or of a group of copies:
 
 * Equal vectors of a business become one row with a weight, so copies never meet pairwise.
-* A business is cut into blocks of about ``block_rows`` distinct vectors. A row goes to the cells
-  (own block, other block); a cell compares two blocks by matrix product and returns a fixed amount
-  per row: counts, its k nearest, its component root. No task holds more than two blocks and no table
-  of pairs is written.
+* A business is cut into blocks of at most ``block_rows`` distinct vectors near one pivot. A row goes
+  to the cells (own block, other block) that can matter; a cell compares two blocks by matrix product
+  and returns a fixed amount per row: counts, its k nearest, its component root. No task holds more
+  than two blocks and no table of pairs is written.
+* A block has a centre and a radius, which bound every similarity between two blocks. A cell is left
+  out if its bound is below the lowest threshold and below the k-th nearest that each row of either
+  block has found in its own block. Results don't change; unlike blocks never meet.
 * Density clusters need the neighbour counts first (one pass), then only component roots per cell
   (second pass); roots of one vector seen in several cells are merged by connected components.
 * Mean similarities of clusters come from vector sums: sum over pairs of x.y = |sum x|^2 - sum |x|^2.
@@ -33,6 +36,7 @@ from reviewlens.schemas import FuseConfig, ScanConfig
 from reviewlens.sources.scratch import materialise
 
 PAIR_ROWS = 256
+MOST_PIVOTS = 4096
 CHUNK = 1024
 
 
@@ -106,12 +110,117 @@ def block_vectors(vec: DataFrame, block_rows: int, min_reviews: int = 1) -> Data
         .withColumn("blocks", F.ceil(F.col("m") / block_rows).cast("int"))
     )
     placed = join_heavy(distinct, sizes, ["business"], "m", "rep")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
-    return materialise(placed.withColumn("block", block))
+    placed = materialise(placed, "placed")
+    one = placed.filter("blocks = 1").withColumn("block", F.lit(0))
+    if placed.filter("blocks > 1").isEmpty():
+        return one
+    return materialise(one.unionByName(_near_pivots(placed.filter("blocks > 1"), block_rows)), "blocks")
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """Each row once per cell its block takes part in."""
+def _near_pivots(placed: DataFrame, block_rows: int) -> DataFrame:
+    """Blocks of vectors with the same nearest pivot, several for a pivot near to many.
+
+    The pivots of a business are drawn by hash: about twice as many as it has full blocks, some MOST_PIVOTS at most.
+    They only place the vectors; without any, a business is cut by hash alone.
+    """
+    among = F.greatest(F.lit(max(1, block_rows // 2)).cast("long"), F.expr(f"n div {MOST_PIVOTS}"))
+    drawn = F.pmod(F.xxhash64("rep", F.lit("pivot")), among) == 0
+    pivots = materialise(placed.filter(drawn).select("business", "rep", "vector", "blocks"), "pivots")
+    slices = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
+    rows = placed.withColumn("slice", slices).groupBy("business", "slice")
+    sent = pivots.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).groupBy("business", "slice")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields)
+    near = materialise(rows.cogroup(sent).applyInArrow(_nearest_pivot, f"{kinds}, pivot bigint"), "near-pivots")
+    held = near.groupBy("business", "pivot").agg(F.count("*").alias("_held"))
+    parts = held.select("business", "pivot", "_held", F.ceil(F.col("_held") / block_rows).cast("int").alias("_parts"))
+    order = Window.partitionBy("business").orderBy("pivot").rowsBetween(Window.unboundedPreceding, -1)
+    first = parts.withColumn("_first", F.coalesce(F.sum("_parts").over(order), F.lit(0)))
+    met = join_heavy(near, first, ["business", "pivot"], "_held", "rep")
+    part = F.pmod(F.xxhash64("rep", F.lit("part")), F.col("_parts").cast("long"))
+    return met.withColumn("block", (F.col("_first") + part).cast("int")).drop("pivot", "_first", "_parts")
+
+
+def _nearest_pivot(rows: pa.Table, pivots: pa.Table) -> pa.Table:
+    if not rows.num_rows or not pivots.num_rows:
+        return rows.drop(["slice"]).append_column("pivot", pa.repeat(pa.scalar(0, pa.int64()), rows.num_rows))
+    x, p, names = _matrix(rows), _matrix(pivots), pivots.column("rep").to_numpy()
+    order = np.argsort(names)
+    p, names = p[order], names[order]
+    found = np.empty(len(x), np.int64)
+    for start in range(0, len(x), CHUNK):
+        part = x[start : start + CHUNK]
+        found[start : start + CHUNK] = names[((p * p).sum(1) - 2 * part @ p.T).argmin(axis=1)]
+    return rows.drop(["slice"]).append_column("pivot", pa.array(found))
+
+
+def block_index(rows: DataFrame) -> DataFrame:
+    """Per block: its centre, radius and largest norm, all of which bound what it can be similar to."""
+    kind = rows.schema["business"].dataType.simpleString()
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        x = _matrix(table)
+        centre = x.mean(axis=0)
+        far = np.sqrt(((x - centre) ** 2).sum(axis=1).max())
+        norm = np.sqrt((x * x).sum(axis=1).max())
+        columns = [[k.as_py()] for k in key] + [[centre.tolist()], [float(far)], [float(norm)]]
+        kinds = [table.schema.field("business").type, pa.int32(), pa.list_(pa.float64()), pa.float64(), pa.float64()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.Table.from_arrays(arrays, ["business", "block", "vector", "radius", "norm"])
+
+    return rows.groupBy("business", "block").applyInArrow(
+        run, f"business {kind}, block int, vector array<double>, radius double, norm double"
+    )
+
+
+def _bound_cell(at_least: float):
+    """Pairs of blocks (a < b) that may hold similarities of ``at_least``, or above what a row of theirs has."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        c, name = _matrix(table), table.column("number").to_numpy()
+        radius, norm, floor = (table.column(x).to_numpy() for x in ("radius", "norm", "floor"))
+        own, against = _sides(key, table)[0]
+        found = []
+        for start in range(0, len(own), CHUNK):
+            i, j = own[start : start + CHUNK, None], against[None, :]
+            dots, size = c[i[:, 0]] @ c[against].T, (c * c).sum(axis=1)
+            apart = np.sqrt(np.maximum(size[i] + size[j] - 2 * dots, 0)) - radius[i] - radius[j]
+            by_distance = (norm[i] ** 2 + norm[j] ** 2 - np.maximum(apart, 0) ** 2) / 2
+            by_centre = dots + np.sqrt(size[i]) * radius[j] + np.sqrt(size[j]) * radius[i] + radius[i] * radius[j]
+            # sums of products are only as exact as floats are
+            bound = np.minimum(by_distance, by_centre) + 1e-6
+            needed = (bound >= np.minimum(at_least, np.minimum(floor[i], floor[j]))) & (name[i] != name[j])
+            if own is against:
+                needed &= name[i] < name[j]
+            a, b = np.nonzero(needed)
+            a, b = name[i[a, 0]], name[against[b]]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        pairs = np.concatenate(found, axis=1)
+        columns = [pa.repeat(key[0], pairs.shape[1]), *[pa.array(x, pa.int32()) for x in pairs]]
+        return pa.Table.from_arrays(columns, ["business", "cell_a", "cell_b"])
+
+    return run
+
+
+#: Blocks of a business whose bounds are compared in one task with as many others.
+INDEX_BLOCKS = 1024
+
+
+def needed_cells(index: DataFrame, at_least: float) -> DataFrame:
+    """(business, cell_a, cell_b), a < b, of the cells that bounds can't leave out; ``index`` has floor too."""
+    sizes = index.groupBy("business").agg(F.count("*").alias("_n")).filter("_n > 1")
+    blocks = F.ceil(F.col("_n") / INDEX_BLOCKS).cast("int")
+    rows = index.withColumnRenamed("block", "number").join(sizes, "business").withColumn("blocks", blocks).drop("_n")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("number"), F.col("blocks").cast("long")).cast("int"))
+    kind = index.schema["business"].dataType.simpleString()
+    return (
+        _all_cells(rows)
+        .groupBy("business", "cell_a", "cell_b")
+        .applyInArrow(_bound_cell(at_least), f"business {kind}, cell_a int, cell_b int")
+    )
+
+
+def _all_cells(rows: DataFrame) -> DataFrame:
+    """Each row once per cell its block could take part in."""
     other = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = other.withColumns(
         {"cell_a": F.least("block", "_other"), "cell_b": F.greatest("block", "_other")}
@@ -120,6 +229,32 @@ def _cells(rows: DataFrame) -> DataFrame:
     return cells.repartition(shuffle_partitions(rows), "business", "cell_a", "cell_b")
 
 
+def _own_cells(rows: DataFrame) -> DataFrame:
+    cells = rows.withColumns({"cell_a": F.col("block"), "cell_b": F.col("block")}).drop("blocks")
+    return cells.repartition(shuffle_partitions(rows), "business", "cell_a", "cell_b")
+
+
+def _cross_cells(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Each row once per needed cell of its block with another."""
+    either = pairs.withColumn("block", F.explode(F.array("cell_a", "cell_b")))
+    # a block has at most block_rows rows, so that no key of this join is heavy on the left
+    cells = rows.drop("blocks").join(materialise(either, "cells"), ["business", "block"])
+    return cells.repartition(shuffle_partitions(rows), "business", "cell_a", "cell_b")
+
+
+def _several_blocks(blocks: DataFrame) -> bool:
+    return not blocks.filter("blocks > 1").isEmpty()
+
+
+def _cells(rows: DataFrame, at_least: float) -> DataFrame:
+    """Each row once per cell that may hold a similarity of ``at_least``."""
+    own = _own_cells(rows)
+    if not _several_blocks(rows):
+        return own
+    index = block_index(rows.filter("blocks > 1")).withColumn("floor", F.lit(np.inf))
+    return own.unionByName(_cross_cells(rows, needed_cells(index, at_least)).select(own.columns))
+
+
 def _matrix(table: pa.Table) -> np.ndarray:
     vectors = table.column("vector").combine_chunks()
     return np.asarray(vectors.flatten(), dtype=np.float64).reshape(table.num_rows, -1)
@@ -198,12 +333,23 @@ def neighbours(blocks: DataFrame, topk: int, over: float, at_least: list[float])
         f"business {kind}, rep {rep}, w bigint, n bigint, top_sim array<double>, top_w array<bigint>,"
         f" over bigint{levels}"
     )
-    cells = _cells(blocks.select("business", "rep", "w", "n", "vector", "block", "blocks"))
-    return materialise(
-        cells.groupBy("business", "cell_a", "cell_b").applyInArrow(
-            _neighbour_cell(topk, over, at_least), schema
-        )
-    )
+    rows = blocks.select("business", "rep", "w", "n", "vector", "block", "blocks")
+
+    def compared(cells: DataFrame) -> DataFrame:
+        grouped = cells.groupBy("business", "cell_a", "cell_b")
+        return materialise(grouped.applyInArrow(_neighbour_cell(topk, over, at_least), schema), "neighbours")
+
+    inside = compared(_own_cells(rows))
+    if not _several_blocks(rows):
+        return inside
+    # what each block's worst-off row has found at home; copies count once here, which can only lower it
+    best = F.sort_array(F.filter(F.arrays_zip("top_sim", "top_w"), lambda x: x.top_w > 0).top_sim, asc=False)
+    kth = F.coalesce(F.get(best, F.lit(topk - 1)), F.lit(-np.inf))
+    wide = rows.filter("blocks > 1")
+    floors = inside.withColumn("kth", kth).join(wide.select("business", "rep", "block"), ["business", "rep"])
+    floors = floors.groupBy("business", "block").agg(F.min("kth").alias("floor"))
+    index = block_index(wide).join(floors, ["business", "block"])
+    return inside.unionByName(compared(_cross_cells(wide, needed_cells(index, min([over, *at_least])))))
 
 
 def top_sums(near: DataFrame, topk: int) -> DataFrame:
@@ -337,7 +483,7 @@ def density_clusters(
     )
     kind = blocks.schema["business"].dataType.simpleString()
     links = materialise(
-        _cells(rows)
+        _cells(rows, min(thresholds, default=np.inf))
         .groupBy("business", "cell_a", "cell_b")
         .applyInArrow(
             _cluster_cell(list(thresholds)),
@@ -620,7 +766,7 @@ def similar_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
     The output grows with the pairs, so no flow uses it; a task holds the pairs of PAIR_ROWS rows at a time.
     """
     kind = blocks.schema["business"].dataType.simpleString()
-    cells = _cells(blocks.select("business", "rep", "w", "vector", "block", "blocks"))
+    cells = _cells(blocks.select("business", "rep", "w", "vector", "block", "blocks"), threshold)
     return cells.groupBy("business", "cell_a", "cell_b").applyInArrow(
         _pair_cell(threshold),
         f"business {kind}, seq_a bigint, seq_b bigint, copies_a bigint, copies_b bigint, sim double",

@@ -95,6 +95,14 @@ def mean_topk(spark, sf):
     return si.mean_topk(near(spark, sf), SCAN.topk).withColumn("mean_topk", F.round("mean_topk", 6))
 
 
+@query("m3_mean_topk_pruned", over_vectors("SELECT business, round(mean_topk, 6) AS mean_topk FROM topk", topk=TOPK))
+def mean_topk_pruned(spark, sf):
+    """The same through small blocks, whose bounds leave cells out."""
+    small = si.block_vectors(vectors(spark, sf), 64, SCAN.min_reviews)
+    found = si.mean_topk(si.neighbours(small, SCAN.topk, SCAN.dup_threshold, [SCAN.sim_threshold]), SCAN.topk)
+    return found.withColumn("mean_topk", F.round("mean_topk", 6))
+
+
 @query(
     "m4_dup_rate", over_vectors("SELECT business, n_reviews, round(dup_rate, 9) AS dup_rate FROM dup", dup=DUP)
 )

@@ -70,7 +70,9 @@ def test_rows_grow_with_the_reviews(spark):
         keyed = candidates.keyed_shingles(spark.createDataFrame(rows, "seq long, g string, text string"), ["g"])
         return candidates.similar_stars(candidates.shingle_sets(keyed, ["g"]), ["g"]).count()
 
-    assert edges(400) <= 8 * 400
+    small, large = edges(150), edges(600)
+    assert large <= candidates.BANDS * 600  # a row has one edge for each band at most
+    assert large <= 6 * small  # four times the reviews; pairs would be sixteen times as many
 
 
 def test_crowded_buckets_are_split(spark, monkeypatch):

@@ -199,3 +199,53 @@ def test_plugged_embedder(spark):
 
     found = {r.seq: r.vector for r in si.embed_with(df, make).collect()}
     assert found[1] == pytest.approx([2 / 5**0.5, 1 / 5**0.5])
+
+
+def themed_vectors(themes=12, per=60, dims=16):
+    rng = np.random.default_rng(3)
+    centres = np.linalg.qr(rng.normal(size=(dims, dims)))[0][:themes]
+    rows = []
+    for i in range(themes * per):
+        v = centres[i % themes] + rng.normal(scale=0.02, size=dims)
+        rows.append(("big", i, [float(x) for x in (v / np.linalg.norm(v)).astype(np.float32)]))
+    return rows
+
+
+def test_unlike_blocks_do_not_meet(spark):
+    rows = themed_vectors()
+    vec = spark.createDataFrame(rows, "business string, seq long, vector array<float>").repartition(3)
+    blocks = si.block_vectors(vec, 30)
+    count = blocks.select("block").distinct().count()
+    index = si.block_index(blocks).withColumn("floor", F.lit(np.inf))
+    needed = si.needed_cells(index, 0.9).count()
+    assert count >= 12 and needed < 0.35 * count * (count - 1) / 2
+    # vectors sent to cells with another block, against those that all cells would get
+    cells = si._cells(blocks.select("business", "rep", "vector", "block", "blocks"), 0.9)
+    assert cells.filter("cell_a <> cell_b").count() < 0.35 * len(rows) * (count - 1)
+
+
+@pytest.mark.parametrize("block_rows", [30, 8192])
+def test_pruned_cells_change_nothing(spark, block_rows):
+    rows = themed_vectors()
+    vec = spark.createDataFrame(rows, "business string, seq long, vector array<float>").repartition(3)
+    cfg = ScanConfig(
+        min_reviews=1, topk=5, dup_threshold=0.995, sim_threshold=0.99, high_sim_threshold=0.998, min_cluster_size=3, block_rows=block_rows
+    )
+    want = brute(rows, 5, 0.995, 0.99, 3)["big"]
+    row = si.scan_businesses(vec, cfg).first()
+    assert row.mean_topk == pytest.approx(want["top"], abs=1e-9)
+    assert row.dup_rate == pytest.approx(want["dup"], abs=1e-12)
+    assert (row.max_cluster_size, pytest.approx(row.max_cluster_mean, abs=1e-6)) == want["best"]
+    x = np.array([r[2] for r in rows])
+    pairs = {(a, b) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 0.99, 1)), strict=True)}
+    found = si.similar_pairs(si.block_vectors(vec, block_rows), 0.99)
+    assert {(r.seq_a, r.seq_b) for r in found.collect()} == pairs
+
+
+def test_norms_of_any_size_are_bounded(spark):
+    rng = np.random.default_rng(7)
+    rows = [("b", i, [float(x) for x in rng.normal(size=4) * rng.choice([0.1, 1, 5])]) for i in range(150)]
+    vec = spark.createDataFrame(rows, "business string, seq long, vector array<float>")
+    x = np.array([np.float32(r[2]) for r in rows], dtype=np.float64)
+    pairs = {(a, b) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 2.0, 1)), strict=True)}
+    assert {(r.seq_a, r.seq_b) for r in si.similar_pairs(si.block_vectors(vec, 8), 2.0).collect()} == pairs
