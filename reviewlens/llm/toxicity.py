@@ -33,6 +33,8 @@ SECOND_PERSON = (
 ).split()
 #: Words between a hit and the person addressed.
 NEAR = 5
+#: Bytes of text that are looked at once.
+PIECE = 1 << 20
 FEATURES = (
     "density", "hits", "kinds", "hidden", "addressed", "capitals", "shouted", "exclaimed", "punctuation", "mixed", "digits", "words",
 )
@@ -164,8 +166,10 @@ def _with_features(df: DataFrame, lexicon: Lexicon, text: str, keep_text: bool =
     shared = df.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text, 4 << 20):
-            found = pa.array(list(features(batch.column(text), shared.value)), pa.list_(pa.float64()))
+        for batch in pieces(batches, text, PIECE):
+            rows = features(batch.column(text), shared.value)
+            ends = pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32))
+            found = pa.ListArray.from_arrays(ends, pa.array(rows.ravel()))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), found], [*kept, "_features"])
 
     schema = df.select(*kept).schema.add("_features", ArrayType(DoubleType()))
@@ -195,7 +199,7 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS, support: int = SUPPOR
         return term[first], row[first], np.diff(np.r_[first, len(term)]), len(begin)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", PIECE):
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False) == 1
             term, row, n, _ = found(batch)
             own, at = np.unique(term, return_inverse=True)
@@ -204,7 +208,7 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS, support: int = SUPPOR
             yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), *map(pa.array, rows)], ["term", "texts", "yes", "no"])
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", PIECE):
             raw, offsets = buffers(batch.column("text"))
             words = spans(_LETTER[LOWER[raw]], offsets)[2]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(words)], ["toxic", "words"])
@@ -223,7 +227,7 @@ def learn_lexicon(labelled: DataFrame, terms: int = TERMS, support: int = SUPPOR
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The candidates that each text has, and how often."""
-        for batch in pieces(batches, "text", 4 << 20):
+        for batch in pieces(batches, "text", PIECE):
             term, row, n, _ = found(batch)
             at = np.flatnonzero(np.isin(term, wanted))
             at = at[np.argsort(row[at], kind="stable")]
