@@ -122,18 +122,23 @@ def test_keep_first_sorts_no_texts(spark):
     assert "first(" not in plan and "min_by" not in plan
 
 
-def test_encoding_spreads_what_it_encodes(spark, monkeypatch):
-    floors = []
-
-    def low(*args, **kw):
-        floors.append(1)
-        return ordered.join_heavy(*args, **kw, floor=5, share=10)
-
-    monkeypatch.setattr(features, "join_heavy", low)
+def test_encoding_joins_types_and_keeps_repeated_keys(spark, monkeypatch):
+    monkeypatch.setattr(features, "BLOCK_ROWS", 3)
+    rows = [(1, "a b"), (1, "a c"), (2, "a"), (None, "a a a"), (3, ""), (4, None), (5, "zz a zz")]
+    df = spark.createDataFrame(rows, "seq long, text string")
+    vocab = spark.createDataFrame([("a", 5, 2), ("b", 2, 3), ("c", 2, 4)], "token string, freq long, id long")
+    found = features.encode(df, vocab, max_len=3).collect()
+    want = [(1, [2, 3, 0]), (1, [2, 4, 0]), (2, [2, 0, 0]), (None, [2, 2, 2]), (3, [0, 0, 0]), (4, [0, 0, 0]), (5, [1, 2, 1])]
+    assert sorted(map(repr, ((r.seq, r.ids) for r in found))) == sorted(map(repr, want))
+    assert features.encode(df.limit(0), vocab).collect() == []
+
+
+def test_encoding_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(features, "BLOCK_ROWS", 50)
     vocab = spark.createDataFrame([("rare", 1, 2), ("b", 3, 3)], "token string, freq long, id long")
     rows = spark.createDataFrame([(k, "" if k % 10 else "rare b new") for k in range(500)] + [(500, None)], "seq long, text string")
     found = {r.seq: r.ids for r in features.encode(rows, vocab, max_len=4).collect()}
-    assert floors and len(found) == 501
+    assert len(found) == 501
     assert all(found[k] == ([0] * 4 if k % 10 or k == 500 else [2, 3, 1, 0]) for k in found)
 
 
