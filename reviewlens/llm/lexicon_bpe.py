@@ -28,7 +28,7 @@ from reviewlens.sources.scratch import materialise
 #: Words in the automaton: a bound for what is broadcast, not for what is encoded exactly.
 LEXICON_WORDS = 65_536
 #: Words a worker remembers; it works out the others each time.
-MEMO = 160_000
+MEMO = 200_000
 #: Texts of these characters need no Unicode tables: ASCII and the precomposed Latin letters.
 PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-įı-ſ]*")
 _LETTER = "a-zß-öø-ſ"
@@ -238,16 +238,11 @@ def frequent_words(docs: DataFrame, vocabulary: bytes, text: str = "text", words
 
 
 class Encoder:
-    """Encodes and decodes texts in one task, remembering the words it met last.
-
-    Two tables hold some MEMO words: when the newer is half of that, the older is dropped, and what is met again of the
-    newer moves on. So frequent words stay, whenever they first occur.
-    """
+    """Encodes and decodes texts in one task, remembering the first MEMO words it meets."""
 
     def __init__(self, vocabulary: bytes, lexicon: bytes):
         self.vocabulary, self.lexicon = _vocabulary(vocabulary), Lexicon(lexicon)
-        self.recent: dict[str, tuple[bytes, str]] = {}
-        self.older: dict[str, tuple[bytes, str]] = {}
+        self.memo: dict[str, tuple[bytes, str]] = {}
 
     def word(self, word: str) -> tuple[bytes, str]:
         """The ids of a word as bytes, and its tokens with a space between."""
@@ -257,12 +252,13 @@ class Encoder:
 
     def __call__(self, text: str) -> tuple[bytes, str]:
         words = self.vocabulary.segments(text)
-        known, older = self.recent, self.older
-        for w in set(words).difference(known):
-            known[w] = older.get(w) or self.word(w)
+        new = {w: self.word(w) for w in set(words).difference(self.memo)}
+        known = self.memo
+        if new and len(known) < MEMO:
+            known.update(new)
+        elif new:
+            known = {w: known.get(w) or new[w] for w in set(words)}
         parts = [known[w] for w in words]
-        if len(known) > MEMO // 2:
-            self.recent, self.older = {}, known
         return b"".join([ids for ids, _ in parts]), " ".join([t for _, t in parts if t])
 
 
