@@ -27,7 +27,7 @@ REGISTERS, BANDS = 128, 32
 BASE, RATE, LIMIT = 1.001, 20.0, 65534
 #: Estimates below this are dropped: five standard errors under 0.8.
 LEAST_ESTIMATE = 0.62
-#: Open members of a bucket that meet pair by pair; larger buckets meet in blocks of that many, by matrix products.
+#: Rows of a block, and columns of the matrices whose products compare two blocks.
 BLOCK, CELL_COLUMNS = 2048, 2048
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -98,18 +98,22 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, gri
     return at
 
 
+def _keys(members: np.ndarray, heads: np.ndarray) -> list[pa.Array]:
+    """Two names of each set: sums over its members, whatever their order."""
+    out = []
+    for salt in (0x1234567, 0x89ABCDE):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mix(members ^ np.uint64(salt)), dtype=np.uint64)])
+        out.append(pa.array(np.diff(total[heads]).view(np.int64)))
+    return out
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 4 << 20):
         members, heads = shingle_sets(batch.column("text"))
-        found = registers(members, heads)
-        # sums over the members name a set whatever their order
-        keys = []
-        for salt in (0x1234567, 0x89ABCDE):
-            total = np.concatenate([[np.uint64(0)], np.cumsum(mix(members ^ np.uint64(salt)), dtype=np.uint64)])
-            keys.append(pa.array(np.diff(total[heads]).view(np.int64)))
-        rows = pa.array([r.tobytes() for r in found], pa.binary())
+        rows = pa.array([r.tobytes() for r in registers(members, heads)], pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(heads)), *keys, rows], ["doc_id", "n", "k1", "k2", "registers"]
+            [batch.column("doc_id"), batch.column("key"), pa.array(np.diff(heads)), *_keys(members, heads), rows],
+            ["doc_id", "key", "n", "k1", "k2", "registers"],
         )
 
 
@@ -128,217 +132,230 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["bucket", "rep", "n"])
 
 
+def _register_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
+
+
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sides = [
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb")
-        ]
+        sides = [_register_rows(batch.column(c)) for c in ("ra", "rb")]
         n_a, n_b = (batch.column(c).to_numpy().astype(np.float64) for c in ("na", "nb"))
         kept = pa.array(estimate(*sides, n_a, n_b) >= LEAST_ESTIMATE)
-        names = ["a", "b", "na", "nb"]
-        yield pa.RecordBatch.from_arrays([batch.column(n).filter(kept) for n in names], names)
+        yield pa.RecordBatch.from_arrays([batch.column(n).filter(kept) for n in ("a", "b")], ["a", "b"])
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 4 << 20):
         members, heads = shingle_sets(batch.column("text"))
+        k1, k2 = (k.to_numpy() for k in _keys(members, heads))
+        # a doc_id that rows share may stand for another set
+        own = (k1 == batch.column("k1").to_numpy()) & (k2 == batch.column("k2").to_numpy())
+        own &= np.diff(heads) == batch.column("n").to_numpy()
         sets = pa.ListArray.from_arrays(pa.array(heads, pa.int32()), pa.array(members.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], ["rep", "members"])
+        columns = [batch.column("rep").filter(pa.array(own)), sets.filter(pa.array(own))]
+        yield pa.RecordBatch.from_arrays(columns, ["rep", "members"])
+
+
+def _sides(key: tuple, table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The rows of two blocks that have to meet: all but pairs of the commonest component."""
+    block, component = table.column("block").to_numpy(), table.column("component").to_numpy()
+    a, b = (np.flatnonzero(block == key[k].as_py()) for k in (1, 2))
+    names, counts = np.unique(component, return_counts=True)
+    rare = component != names[counts.argmax()]
+    return [(a[rare[a]], b), (a[~rare[a]], b[rare[b]])]
+
+
+def _near(key: tuple, table: pa.Table) -> pa.Table:
+    """The rows of two blocks of a group that seem similar enough to one of another component."""
+    found = _register_rows(table.column("registers").combine_chunks())
+    n, component = (table.column(c).to_numpy() for c in ("n", "component"))
+    open_rows = np.zeros(table.num_rows, bool)
+    for rows, others in _sides(key, table):
+        for i in rows:
+            # nothing is to be learned from two rows that are both known to be open
+            to = others[component[others] != component[i]]
+            to = to[~open_rows[to]] if open_rows[i] else to
+            least, most = np.minimum(n[to], n[i]), np.maximum(n[to], n[i])
+            to = to[least * 100 >= most * SHARE]
+            if to.size:
+                # registers are equal about as often as shingles: far ones need no likelihood
+                to = to[(found[to] == found[i]).sum(axis=1) >= REGISTERS * LEAST_ESTIMATE * 0.8]
+            if to.size:
+                both = np.broadcast_to(found[i], (len(to), REGISTERS))
+                sizes = np.full(len(to), n[i], np.float64)
+                to = to[estimate(both, found[to], sizes, n[to].astype(np.float64)) >= LEAST_ESTIMATE]
+                open_rows[to] = True
+                open_rows[i] |= to.size > 0
+    grp = pa.array(np.full(int(open_rows.sum()), key[0].as_py()), pa.int64())
+    return pa.table({"grp": grp, "rep": table.column("rep").filter(pa.array(open_rows)).cast(pa.int64())})
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A link of each vertex of these links to the least of its component, but for that one itself."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    root = np.arange(len(names))
+    while True:
+        least = np.minimum(root[u], root[v])
+        now = root.copy()
+        for end in (u, v):
+            np.minimum.at(now, end, least)
+            np.minimum.at(now, root[end], least)
+        now = now[now]
+        if (now == root).all():
+            break
+        root = now
+    other = np.flatnonzero(root != np.arange(len(names)))
+    return names[other], names[root[other]]
 
 
 def _cell(key: tuple, table: pa.Table) -> pa.Table:
-    """Links between the components of two blocks of a bucket, one for each pair of components.
+    """Links between the components of two blocks of a group, at most one for each component.
 
     Shared shingles are counted by products of 0/1 matrices, some columns at a time; no pair becomes a row.
     """
-    block = table.column("block").to_numpy()
-    sides = [np.flatnonzero(block == key[k].as_py()) for k in (1, 2)]
     lists = table.column("members").combine_chunks()
     owner = np.repeat(np.arange(table.num_rows), np.diff(lists.offsets.to_numpy()))
     _, at, count = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
     column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[at]
-    shared = np.zeros((len(sides[0]), len(sides[1])), np.float64)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    n, component = (table.column(c).to_numpy() for c in ("n", "component"))
+    sides = _sides(key, table)
+    shared = [np.zeros((len(rows), len(others)), np.float32) for rows, others in sides]
     for low in range(0, int((count > 1).sum()), CELL_COLUMNS):
-        some = (column >= low) & (column < low + CELL_COLUMNS)
+        some = slice(*np.searchsorted(column, [low, low + CELL_COLUMNS]))
         has = np.zeros((table.num_rows, CELL_COLUMNS), np.float32)
         has[owner[some], column[some] - low] = 1
-        shared += has[sides[0]] @ has[sides[1]].T
-    rep, n, component = (table.column(c).to_numpy() for c in ("rep", "n", "component"))
-    union = n[sides[0]][:, None] + n[sides[1]][None, :] - shared
-    apart = component[sides[0]][:, None] != component[sides[1]][None, :]
-    i, j = np.nonzero((shared * 100 >= union * SHARE) & apart)
-    a, b = sides[0][i], sides[1][j]
-    ends = np.sort(np.column_stack([component[a], component[b]]), axis=1)
-    _, one = np.unique(ends, axis=0, return_index=True)
-    low, high = np.minimum(rep[a[one]], rep[b[one]]), np.maximum(rep[a[one]], rep[b[one]])
-    return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
-
-
-class Linker:
-    """Confirms pairs of sets once each, and knows all links so far."""
-
-    def __init__(self, docs: DataFrame, sets: DataFrame):
-        self.docs, self.sets = docs, sets
-        self.tested: DataFrame | None = None
-        self.full: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def members(self, reps: DataFrame) -> DataFrame:
-        """(rep, members) of these representatives, whose texts are read again where they weren't yet."""
-        if self.full is not None:
-            reps = reps.join(self.full, "rep", "left_anti")
-        fresh = self.docs.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-        fresh = fresh.mapInArrow(_full, "rep long, members array<long>")
-        # a doc_id that rows share stands for the first of its sets
-        fresh = materialise(fresh.dropDuplicates(["rep"]), "sets")
-        self.full = fresh if self.full is None else self.full.unionByName(fresh)
-        return self.full
-
-    def test(self, pairs: DataFrame) -> bool:
-        """Confirms the pairs (a < b) that are new; whether there are links among them."""
-        pairs = pairs.distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        mine, theirs = (
-            self.sets.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
-            for x in ("a", "b")
-        )
-        close = pairs.join(mine, "a").join(theirs, "b")
-        close = close.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE)
-        close = close.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely, "a long, b long, na long, nb long")
-        close = materialise(close, "likely")
-        if close.isEmpty():
-            return False
-        full = self.members(close.select(F.explode(F.array("a", "b")).alias("rep")).distinct())
-        ours, others = (full.select(F.col("rep").alias(x), F.col("members").alias(f"m{x}")) for x in ("a", "b"))
-        both = close.join(ours, "a").join(others, "b")
-        both = both.withColumn("shared", F.size(F.array_intersect("ma", "mb")))
-        linked = F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * SHARE
-        found = materialise(both.filter(linked).select("a", "b"), "links")
-        if found.isEmpty():
-            return False
-        self.links = found if self.links is None else self.links.unionByName(found)
-        return True
-
-    def test_hot(self, hot: DataFrame) -> bool:
-        """All members (bucket, rep, n, component, blocks) of hot buckets against each other, block by block."""
-        own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1))
-        rows = hot.withColumn("block", own).withColumn("_other", other)
-        ends = {"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}
-        rows = rows.withColumns(ends).join(self.members(hot.select("rep").distinct()), "rep")
-        rows = rows.select("bucket", "low", "high", "block", "rep", "n", "component", "members")
-        found = rows.groupBy("bucket", "low", "high").applyInArrow(_cell, "a long, b long")
-        found = materialise(found.distinct(), "links")
-        if found.isEmpty():
-            return False
-        self.links = found if self.links is None else self.links.unionByName(found)
-        return True
-
-    def components(self) -> DataFrame:
-        """(rep, component) of every set with a link."""
-        found = connected_components(self.links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        return materialise(found.select(F.col("vertex").alias("rep"), "component"), "components")
-
-    def open_members(self, buckets: DataFrame, components: DataFrame | None) -> DataFrame:
-        """The rows (bucket, rep, n) that may still be linked to another component, with component and ``outside``.
-
-        ``outside`` is how many of a set's shingles also occur in another component that shares a mixed bucket with
-        anything. It bounds what the set can share with a set of another component, so a set with fewer than
-        SHARE hundredths of its shingles outside has no link left to find.
-        """
-        placed = buckets.withColumn("component", F.col("rep"))
-        if components is not None:
-            placed = buckets.join(components, "rep", "left")
-            placed = placed.withColumn("component", F.coalesce("component", "rep"))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        placed = placed.join(mixed.filter("low <> high").select("bucket"), "bucket")
-        placed = materialise(placed.select("bucket", "rep", "n", "component"), "mixed")
-        if placed.isEmpty():
-            return placed
-        own = placed.select("rep", "component").distinct()
-        shingles = own.join(self.members(own.select("rep")), "rep").select(
-            "rep", "component", F.explode("members").alias("shingle")
-        )
-        spread = shingles.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        spread = materialise(spread.filter("low <> high").select("shingle"), "spread")
-        outside = shingles.join(spread, "shingle").groupBy("rep").agg(F.count("*").alias("outside"))
-        left = placed.join(outside, "rep").filter(F.col("outside") * 100 >= F.col("n") * SHARE)
-        return materialise(left, "open")
+        for total, (rows, others) in zip(shared, sides, strict=True):
+            total += has[rows] @ has[others].T
+    low, high = [], []
+    for total, (rows, others) in zip(shared, sides, strict=True):
+        for i in range(0, len(rows), 256):  # the comparison needs whole numbers of more than 24 bits
+            some = rows[i : i + 256]
+            both = total[i : i + 256].astype(np.int64)
+            union = n[some][:, None] + n[others][None, :] - both
+            x, y = np.nonzero((both * 100 >= union * SHARE) & (component[some][:, None] != component[others][None, :]))
+            ends = np.unique(np.sort(np.column_stack([component[some[x]], component[others[y]]]), axis=1), axis=0)
+            low.append(ends[:, 0])
+            high.append(ends[:, 1])
+    a, b = _forest(*(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (low, high)))
+    return pa.table({"u": pa.array(a, pa.int64()), "v": pa.array(b, pa.int64())})
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows (grp, rep, ...) once for each pair (low, high) of blocks of their group that holds theirs."""
+    sizes = rows.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = rows.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")})
+
+
+def _links_of_stars(members: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
+    """Confirmed links (u, v) between the members of buckets and the first of their bucket."""
+    pairs = members.filter("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
+    mine, theirs = (
+        sets.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
+        for x in ("a", "b")
+    )
+    close = pairs.join(mine, "a").join(theirs, "b")
+    close = close.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE)
+    close = close.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_likely, "a long, b long")
+    ours, others = (full.select(F.col("rep").alias(x), F.col("members").alias(f"m{x}")) for x in ("a", "b"))
+    both = materialise(close, "likely").join(ours, "a").join(others, "b")
+    both = both.withColumn("shared", F.size(F.array_intersect("ma", "mb")))
+    union = F.size("ma") + F.size("mb") - F.col("shared")
+    return both.filter(F.col("shared") * 100 >= union * SHARE).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _links_between(members: DataFrame, components: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
+    """Links (u, v) between components that share a bucket, enough of them to join all that belong together.
+
+    Buckets that hold several components are grouped by the least of these, so that a set travels once for all
+    the buckets that it shares with that component. A group is cut into blocks that meet each other. Registers
+    meet first; the sets of rows that then seem similar to one of another component meet next.
+    """
+    placed = members.select("bucket", "rep", "n").join(components, "rep", "left")
+    placed = materialise(placed.withColumn("component", F.coalesce("component", "rep")), "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("grp"), F.max("component").alias("high"))
+    rows = placed.join(mixed.filter("grp <> high").select("bucket", "grp"), "bucket")
+    rows = materialise(rows.select("grp", "rep", "n", "component").distinct(), "mixed")
+    near = _cells(rows).join(sets.select("rep", "registers"), "rep")
+    near = near.select("grp", "low", "high", "block", "rep", "n", "component", "registers")
+    near = near.groupBy("grp", "low", "high").applyInArrow(_near, "grp long, rep long").distinct()
+    left = materialise(rows.join(near, ["grp", "rep"]), "open")
+    cells = _cells(left).join(full, "rep")
+    cells = cells.select("grp", "low", "high", "block", "n", "component", "members")
+    return cells.groupBy("grp", "low", "high").applyInArrow(_cell, "u long, v long").distinct()
 
 
-def _pair(x: str, y: str) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _components(links: DataFrame) -> DataFrame:
+    return materialise(connected_components(links).select(F.col("vertex").alias("rep"), "component"), "components")
 
 
-def cluster(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id and kept; other columns are left out.
+def classes(docs: DataFrame, same_id: bool = True) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text, key): doc_id, key, n, class and first, the least doc_id of the class.
 
-    Texts are lower-cased (A-Z) and cut into words at ASCII white space; a text of fewer than four words is one
-    shingle, one without words (or null) is empty and linked with nothing. component_id is the least doc_id that
-    can be reached over links, kept marks that document. Rows that repeat a doc_id are one document as
-    far as links go; a null doc_id is linked with nothing and not kept. An empty table gives no rows.
+    A class is a component of linked sets; it is null for rows without words or doc_id. With ``same_id`` rows of
+    one doc_id are one document and so of one class, whatever their texts.
 
     Equal sets are one representative from the start, so copies cost nothing beyond their own row. In each
-    bucket every member meets the least one. In buckets that then hold more than one component, sets too few of
-    whose shingles occur in other components are done: they can have no further link. The others meet the one of
-    the bucket that shares most, and what is still open after that meets pair by pair, if the shingles that
-    both have outside could suffice, or block by block in a hot bucket. No bucket is capped or held by one task.
+    bucket every member meets the first one; what is in a bucket with another component after that meets it block
+    by block. Texts are read a second time, once, for sets that share a bucket. No bucket is capped or held by one
+    task, and no pair of members becomes a row but those with the first.
     """
-    docs = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketched = materialise(
-        docs.mapInArrow(_sketch, "doc_id long, n long, k1 long, k2 long, registers binary"), "sketches"
-    )
+    schema = "doc_id long, key binary, n long, k1 long, k2 long, registers binary"
+    sketched = materialise(docs.mapInArrow(_sketch, schema), "sketches")
+    names = ["k1", "k2", "n"]
     named = sketched.filter("n > 0 and doc_id is not null")
-    sets = named.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc_id", "registers")).alias("x"))
-    sets = sets.select("k1", "k2", "n", F.col("x.doc_id").alias("rep"), F.col("x.registers").alias("registers"))
-    sets = materialise(sets, "representatives")
+    sets = named.groupBy(*names).agg(F.min(F.struct("doc_id", "registers")).alias("x"))
+    sets = sets.select(*names, "x.*", F.monotonically_increasing_id().alias("rep"))
+    sets = materialise(sets, "representatives")  # from here on a set has the number written
     banded = sets.select("registers", "rep", "n").mapInArrow(_bands, "bucket long, rep long, n long")
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("first")).filter("size > 1")
-    buckets = materialise(buckets, "buckets")
-    members = materialise(banded.join(buckets, "bucket").select("bucket", "rep", "n", "first"), "members")
-
-    linker = Linker(docs, sets.select("rep", "n", "registers"))
-    linked = linker.test(members.filter("rep <> first").select(*_pair("rep", "first")))
-    members = members.drop("first")
-    components = linker.components() if linked else None
-    left = linker.open_members(members, components)
-    if not left.isEmpty():
-        # those that share most with others come first: what resembles anything in the bucket resembles them
-        order = F.struct((F.col("outside") / F.col("n")).alias("share"), "rep", "component")
-        first = left.groupBy("bucket").agg(F.max(order).alias("x"))
-        met = left.join(first, "bucket").filter("component <> x.component").withColumn("other", F.col("x.rep"))
-        if linker.test(met.select(*_pair("rep", "other"))):
-            components = linker.components()
-            left = linker.open_members(left.select("bucket", "rep", "n"), components)
-    if not left.isEmpty():
-        # a pair meets in the first of its buckets only
-        left = left.join(left.groupBy("rep").agg(F.collect_set("bucket").alias("buckets")), "rep")
-        others = left.withColumnsRenamed({c: f"{c}_2" for c in ("rep", "n", "component", "outside", "buckets")})
-        apart = (F.col("rep") < F.col("rep_2")) & (F.col("component") != F.col("component_2"))
-        # as many as both have outside may be shared
-        most = F.least("outside", "outside_2")
-        enough = most * (100 + SHARE) >= (F.col("n") + F.col("n_2")) * SHARE
-        once = F.array_min(F.array_intersect("buckets", "buckets_2")) == F.col("bucket")
-        sizes = left.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        left = materialise(left.join(sizes, "bucket"), "left")
-        small = left.filter("blocks = 1").join(others, "bucket").filter(apart & enough & once)
-        found = linker.test(small.select(*_pair("rep", "rep_2")))
-        hot = left.filter("blocks > 1").select("bucket", "rep", "n", "component", "blocks")
-        if not hot.isEmpty():
-            found = linker.test_hot(hot) or found
-        if found:
-            components = linker.components()
-
-    known = sets.select("k1", "k2", "n", "rep")
-    if components is not None:
-        known = known.join(components, "rep", "left")
-        known = known.select("k1", "k2", "n", F.coalesce("component", "rep").alias("rep"))
+    members = banded.join(materialise(buckets, "buckets"), "bucket")
+    members = materialise(members.select("bucket", "rep", "n", "first"), "members")
+
+    wanted = sets.join(members.select("rep").distinct(), "rep").select("doc_id", "rep", *names)
+    full = docs.select("doc_id", "text").join(materialise(wanted, "wanted"), "doc_id")
+    full = full.select("text", "rep", *names).mapInArrow(_full, "rep long, members array<long>")
+    full = materialise(full.dropDuplicates(["rep"]), "sets")
+    links = _links_of_stars(members, sets, full)
+    if same_id:
+        several = named.groupBy("doc_id").agg(*[f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in names])
+        several = several.filter(" or ".join(f"min_{k} <> max_{k}" for k in names)).select("doc_id")
+        repeats = named.select("doc_id", *names).join(several, "doc_id").distinct()
+        repeats = materialise(repeats.join(sets.select(*names, "rep"), names).select("doc_id", "rep"), "repeats")
+        least = repeats.groupBy("doc_id").agg(F.min("rep").alias("v"))
+        links = links.unionByName(repeats.join(least, "doc_id").select(F.col("rep").alias("u"), "v").filter("u <> v"))
+    components = _components(links)
+    more = materialise(_links_between(members, components, sets, full), "links")
+    known = sets.select(*names, "rep", "doc_id").join(components, "rep", "left")
+    known = known.select(*names, "doc_id", F.coalesce("component", "rep").alias("class"))
+    if not more.isEmpty():
+        wider = _components(more).select(F.col("rep").alias("class"), F.col("component").alias("wider"))
+        known = known.join(wider, "class", "left").withColumn("class", F.coalesce("wider", "class")).drop("wider")
     known = materialise(known, "classes")
-    out = sketched.drop("registers").join(known, ["k1", "k2", "n"], "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))
+    first = known.groupBy("class").agg(F.min("doc_id").alias("first"))
+    known = known.drop("doc_id").join(first, "class")
+    rows = sketched.select("doc_id", "key", *names)
+    # a row without doc_id may be a copy of one that has
+    own = [F.when(F.col("doc_id").isNotNull(), F.col(c)).alias(c) for c in ("class", "first")]
+    return rows.join(known, names, "left").select("doc_id", "key", "n", *own)
+
+
+def cluster(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id and kept; other columns are left out.
+
+    Texts are lower-cased (A-Z) and cut into words at ASCII white space; a text of fewer than four words is one
+    shingle, one without words (or null) is empty and linked with nothing. component_id is the least doc_id that
+    can be reached over links, kept marks that document. Rows that repeat a doc_id are one document: it has the
+    links of each of its texts, and all its rows that have words are of one component. A null doc_id is linked with
+    nothing and not kept. An empty table gives no rows.
+    """
+    named = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    out = classes(named.withColumn("key", F.lit(None).cast("binary")))
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id"))
     return out.select(
         "doc_id",
         F.col("n").alias("n_shingles"),

@@ -165,6 +165,30 @@ def test_components_of_odd_rows(spark):
     assert setsketch.cluster(df.limit(0)).isEmpty()
 
 
+def test_components_of_a_doc_id_with_two_texts(spark):
+    a, b = ("".join(f"{c}{k} " for k in range(60)) for c in "pq")
+    rows = [(5, a), (5, b), (7, a + "tail"), (9, b + "tail"), (4, a), (4, "other words than those"), (11, "alone")]
+    found = {tuple(x) for x in setsketch.cluster(spark.createDataFrame(rows, DOC)).select("doc_id", "component_id").collect()}
+    assert found == {(5, 4), (7, 4), (9, 4), (4, 4), (11, 11)}
+
+
+def _joined(a, b, names):
+    name = {int(x): int(x) for x in names}
+    for x, y in zip(a, b, strict=True):
+        ends = name[int(x)], name[int(y)]
+        name = {k: min(ends) if w in ends else w for k, w in name.items()}
+    return name
+
+
+def test_forest_joins_what_links_join():
+    r = np.random.default_rng(3)
+    for n in (0, 1, 5, 60):
+        a, b = r.integers(0, 80, n), r.integers(0, 80, n)
+        u, v = setsketch._forest(a, b)
+        names = np.concatenate([a, b])
+        assert len(set(u)) == len(u) and _joined(a, b, names) == _joined(u, v, names)
+
+
 def test_registers_merge_and_estimate():
     r = np.random.default_rng(0)
     x = r.integers(0, 2**63, 3000, dtype=np.uint64)
