@@ -165,31 +165,6 @@ def _sides(key: tuple, table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(a[rare[a]], b), (a[~rare[a]], b[rare[b]])]
 
 
-def _near(key: tuple, table: pa.Table) -> pa.Table:
-    """The rows of two blocks of a group that seem similar enough to one of another component."""
-    found = _register_rows(table.column("registers").combine_chunks())
-    n, component = (table.column(c).to_numpy() for c in ("n", "component"))
-    open_rows = np.zeros(table.num_rows, bool)
-    for rows, others in _sides(key, table):
-        for i in rows:
-            # nothing is to be learned from two rows that are both known to be open
-            to = others[component[others] != component[i]]
-            to = to[~open_rows[to]] if open_rows[i] else to
-            least, most = np.minimum(n[to], n[i]), np.maximum(n[to], n[i])
-            to = to[least * 100 >= most * SHARE]
-            if to.size:
-                # registers are equal about as often as shingles: far ones need no likelihood
-                to = to[(found[to] == found[i]).sum(axis=1) >= REGISTERS * LEAST_ESTIMATE * 0.8]
-            if to.size:
-                both = np.broadcast_to(found[i], (len(to), REGISTERS))
-                sizes = np.full(len(to), n[i], np.float64)
-                to = to[estimate(both, found[to], sizes, n[to].astype(np.float64)) >= LEAST_ESTIMATE]
-                open_rows[to] = True
-                open_rows[i] |= to.size > 0
-    grp = pa.array(np.full(int(open_rows.sum()), key[0].as_py()), pa.int64())
-    return pa.table({"grp": grp, "rep": table.column("rep").filter(pa.array(open_rows)).cast(pa.int64())})
-
-
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A link of each vertex of these links to the least of its component, but for that one itself."""
     names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -268,23 +243,19 @@ def _links_of_stars(members: DataFrame, sets: DataFrame, full: DataFrame) -> Dat
     return both.filter(F.col("shared") * 100 >= union * SHARE).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _links_between(members: DataFrame, components: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
+def _links_between(members: DataFrame, components: DataFrame, full: DataFrame) -> DataFrame:
     """Links (u, v) between components that share a bucket, enough of them to join all that belong together.
 
     Buckets that hold several components are grouped by the least of these, so that a set travels once for all
-    the buckets that it shares with that component. A group is cut into blocks that meet each other. Registers
-    meet first; the sets of rows that then seem similar to one of another component meet next.
+    the buckets that it shares with that component. A group is cut into blocks that meet each other, by full sets:
+    a product of matrices costs less than the likelihood of as many pairs.
     """
     placed = members.select("bucket", "rep", "n").join(components, "rep", "left")
     placed = materialise(placed.withColumn("component", F.coalesce("component", "rep")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("grp"), F.max("component").alias("high"))
     rows = placed.join(mixed.filter("grp <> high").select("bucket", "grp"), "bucket")
     rows = materialise(rows.select("grp", "rep", "n", "component").distinct(), "mixed")
-    near = _cells(rows).join(sets.select("rep", "registers"), "rep")
-    near = near.select("grp", "low", "high", "block", "rep", "n", "component", "registers")
-    near = near.groupBy("grp", "low", "high").applyInArrow(_near, "grp long, rep long").distinct()
-    left = materialise(rows.join(near, ["grp", "rep"]), "open")
-    cells = _cells(left).join(full, "rep")
+    cells = _cells(rows).join(full, "rep")
     cells = cells.select("grp", "low", "high", "block", "n", "component", "members")
     return cells.groupBy("grp", "low", "high").applyInArrow(_cell, "u long, v long").distinct()
 
@@ -329,7 +300,7 @@ def classes(docs: DataFrame, same_id: bool = True) -> DataFrame:
         least = repeats.groupBy("doc_id").agg(F.min("rep").alias("v"))
         links = links.unionByName(repeats.join(least, "doc_id").select(F.col("rep").alias("u"), "v").filter("u <> v"))
     components = _components(links)
-    more = materialise(_links_between(members, components, sets, full), "links")
+    more = materialise(_links_between(members, components, full), "links")
     known = sets.select(*names, "rep", "doc_id").join(components, "rep", "left")
     known = known.select(*names, "doc_id", F.coalesce("component", "rep").alias("class"))
     if not more.isEmpty():
