@@ -3,7 +3,8 @@
 Vectors become integers; adding one coordinate that lifts every vector to the largest norm turns the largest inner
 product into the least Euclidean distance, a metric. The rows are dealt by nearest pivot into regions
 and, within a region, into trees of bounded size. A tree is a set of paged nodes; each entry of a page stores
-its distance to the page's own routing object and the radius that covers what lies below. A query first
+its distance to the page's own routing object and the radius that covers what lies below. Trees are built once and
+kept as rows of a table; a block of queries walks a tree together, one matrix product per page. A query first
 searches the one tree of its own region that it falls to, which bounds its k-th score, and then those trees whose
 region may still hold something as good.
 """
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,25 +39,66 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class MTree:
-    """An M-tree over rows of ``points`` (lifted to one norm), built by splitting around routing objects."""
+    """An M-tree over rows of ``points`` (lifted to one norm), built by splitting around routing objects.
+
+    The tree is flat arrays, so that it can be a row of a table. Page i holds the entries ``first[i]`` to ``last[i]``:
+    rows in leaf order with their distance to the page's object (``away``) if it is a leaf, else routing objects with
+    covering radius, distance to the page's object (``apart``) and child page. The last page is the top: one entry.
+    """
+
+    KEPT = ("away", "objects", "radii", "apart", "child", "first", "last", "leaf")
 
     def __init__(self, points: np.ndarray, page: int = PAGE):
-        self.points, self.page = points, page
-        self.pages: list[tuple[np.ndarray, ...]] = []
-        self.root = self._build(np.arange(len(points)), points.mean(axis=0)) if len(points) else None
-        # the distances that stored bounds made unnecessary, and those computed
-        self.spared = self.computed = 0
-
-    def _build(self, rows: np.ndarray, parent: np.ndarray) -> int:
-        """A page for these rows: entries (routing object, radius, distance to the page's object, child)."""
-        own = self.points[rows]
-        if len(rows) <= self.page:
-            leaf = (own, np.zeros(len(rows)), _distance(own, parent), rows, True)
-            self.pages.append(leaf)
-            return len(self.pages) - 1
+        self.size, self.width = page, points.shape[1]
+        self.spared = self.computed = 0  # distances that stored bounds made unnecessary, and those computed
+        self._rows, self._parts = [], {name: [] for name in self.KEPT}
+        self._taken = self._entries = 0
+        if len(points):
+            centre = points.mean(axis=0)
+            root = self._build(points, np.arange(len(points)), centre)
+            radius = _distance(points, centre).max()
+            self._inner(centre[None], np.array([radius]), np.zeros(1), [root])
+        for name, parts in self._parts.items():
+            whole = name in ("child", "first", "last", "leaf")
+            empty = np.zeros(0, np.int32 if whole else np.float64)
+            setattr(self, name, np.concatenate([empty, *(np.asarray(x, empty.dtype).ravel() for x in parts)]))
+        self.objects = self.objects.reshape(-1, self.width)
+        #: The row of ``points`` at each place of the leaves.
+        self.order = np.concatenate([np.zeros(0, np.int64), *self._rows])
+        del self._rows, self._parts
+
+    @classmethod
+    def stored(cls, width: int, **arrays: np.ndarray) -> MTree:
+        """The tree with these arrays, whose rows are at their places already."""
+        tree = cls.__new__(cls)
+        tree.width, tree.spared, tree.computed = width, 0, 0
+        for name in cls.KEPT:
+            setattr(tree, name, arrays[name])
+        tree.objects = tree.objects.reshape(-1, width)
+        tree.order = np.arange(len(tree.away))
+        return tree
+
+    def _page(self, first: int, last: int, leaf: int) -> int:
+        for name, x in (("first", first), ("last", last), ("leaf", leaf)):
+            self._parts[name].append([x])
+        return len(self._parts["first"]) - 1
+
+    def _inner(self, objects: np.ndarray, radii: np.ndarray, apart: np.ndarray, child: list[int]) -> int:
+        for name, x in (("objects", objects), ("radii", radii), ("apart", apart), ("child", child)):
+            self._parts[name].append(x)
+        self._entries += len(child)
+        return self._page(self._entries - len(child), self._entries, 0)
+
+    def _build(self, points: np.ndarray, rows: np.ndarray, parent: np.ndarray) -> int:
+        """A page for these rows, whose routing object is ``parent``."""
+        own = points[rows]
+        if len(rows) <= self.size:
+            self._rows.append(rows)
+            self._parts["away"].append(_distance(own, parent))
+            self._taken += len(rows)
+            return self._page(self._taken - len(rows), self._taken, 1)
         # routing objects far from each other, each row to the nearest
-        fan = min(self.page, -(-len(rows) // self.page))
-        fan = max(2, fan)
+        fan = max(2, min(self.size, -(-len(rows) // self.size)))
         near, label, picks = np.full(len(rows), np.inf), np.zeros(len(rows), np.int64), []
         at = int(_distance(own, parent).argmax())
         for k in range(fan):
@@ -68,46 +111,65 @@ class MTree:
                 break
         if near.max() == 0 and len(picks) == 1:  # copies: any even cut will do
             label = np.arange(len(rows)) * fan // len(rows)
-        groups = [rows[label == k] for k in range(label.max() + 1)]
-        groups = [g for g in groups if len(g)]
-        objects, radii, children = [], [], []
-        for g in groups:
-            centre = self.points[g].mean(axis=0)
-            objects.append(centre)
-            radii.append(_distance(self.points[g], centre).max())
-            children.append(self._build(g, centre))
-        objects = np.array(objects)
-        self.pages.append((objects, np.array(radii), _distance(objects, parent), np.array(children), False))
-        return len(self.pages) - 1
+        groups = [g for g in (rows[label == k] for k in range(label.max() + 1)) if len(g)]
+        centres = np.array([points[g].mean(axis=0) for g in groups])
+        radii = np.array([_distance(points[g], c).max() for g, c in zip(groups, centres, strict=True)])
+        child = [self._build(points, g, c) for g, c in zip(groups, centres, strict=True)]
+        return self._inner(centres, radii, _distance(centres, parent), child)
 
     def search(self, query: np.ndarray, limit: float, take) -> None:
-        """Best first: pages by the least distance that they may hold, while that is within the limit.
+        """``walk`` for one query: ``take`` gets rows that may lie within the limit and returns the limit from then on."""
+        limits = np.array([float(limit)])
+
+        def one(_, places: np.ndarray) -> None:
+            limits[0] = take(self.order[places])
+
+        self.walk(query[None], limits, one)
 
-        ``take`` gets the rows of each leaf that may lie within the limit and returns the limit from then on.
+    def walk(self, queries: np.ndarray, limits: np.ndarray, take) -> None:
+        """Best first for a block of queries: pages by the least distance that they may hold for one of the queries.
+
+        ``take`` gets numbers of queries and places of a leaf, among which are all pairs that may lie within the limits;
+        it may lower ``limits``. A query goes on into a page only while the page's bound is within the query's limit.
         """
-        if self.root is None:
+        if not len(self.first) or not len(queries):
             return
-        to_mean = float(_distance(query, self.points.mean(axis=0)))
-        heap = [(0.0, self.root, to_mean)]
+        norms, lengths = (queries * queries).sum(axis=1), (self.objects * self.objects).sum(axis=1)
+        # distances by matrix product are off by no more than this
+        scale = norms.max() + lengths.max()
+        slack = float(np.sqrt(16.0 * (self.width + 4) * np.finfo(float).eps * scale))
+        number = 0
+        heap = [(0.0, number, len(self.first) - 1, np.arange(len(queries)), np.zeros(len(queries)), np.zeros(len(queries)))]
         while heap:
-            least, page, to_parent = heapq.heappop(heap)
-            if least > limit:
-                return
-            objects, radii, from_parent, children, leaf = self.pages[page]
+            _, _, page, who, least, to_parent = heapq.heappop(heap)
+            entries = slice(self.first[page], self.last[page])
+            n = entries.stop - entries.start
+            still = least <= limits[who]
+            self.spared += int((~still).sum()) * n
+            if not still.any():
+                continue
+            who, to_parent = who[still], to_parent[still]
+            leaf = self.leaf[page]
+            stored, radii = (self.away[entries], 0.0) if leaf else (self.apart[entries], self.radii[entries])
             # |d(q, parent) - d(object, parent)| - radius is no more than the true distance
-            open_ = np.abs(to_parent - from_parent) - radii <= limit
-            self.spared += int(len(open_) - open_.sum())
-            if not open_.any():
+            bound = np.abs(to_parent[:, None] - stored) - radii - slack
+            open_ = bound <= limits[who][:, None]
+            asks, at = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+            self.computed += len(asks) * len(at)
+            self.spared += len(who) * n - len(asks) * len(at)
+            if not len(asks):
                 continue
+            who, at = who[asks], at + entries.start
             if leaf:
-                self.computed += int(open_.sum())
-                limit = take(children[open_])
+                take(who, at)
                 continue
-            d = _distance(objects[open_], query)
-            self.computed += len(d)
-            for x, r, child in zip(d, radii[open_], children[open_], strict=True):
-                if x - r <= limit:
-                    heapq.heappush(heap, (max(0.0, float(x - r)), int(child), float(x)))
+            square = norms[who][:, None] + lengths[at] - 2.0 * (queries[who] @ self.objects[at].T)
+            d = np.sqrt(np.maximum(0.0, square))
+            low = np.maximum(0.0, d - self.radii[at] - slack)
+            within = low <= limits[who][:, None]
+            for j in np.flatnonzero(within.any(axis=0)):
+                on, number = within[:, j], number + 1
+                heapq.heappush(heap, (float(low[on, j].min()), number, int(self.child[at[j]]), who[on], low[on, j], d[on, j]))
 
 
 def _lift(rows: np.ndarray, norm: float) -> np.ndarray:
@@ -116,11 +178,15 @@ def _lift(rows: np.ndarray, norm: float) -> np.ndarray:
     return np.column_stack([x, np.sqrt(np.maximum(0.0, norm - (x * x).sum(axis=1)))])
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """The places of the k best ids, each with its best score."""
-    order = np.lexsort((ids, -scores))
-    _, first = np.unique(ids[order], return_index=True)
-    return order[np.sort(first)[:k]]
+def _best(asks: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the k best ids of each query, each with its best score, by query and rank; and their ranks."""
+    order = np.lexsort((-scores, ids, asks))
+    a, i = asks[order], ids[order]
+    order = order[np.concatenate([[True], (a[1:] != a[:-1]) | (i[1:] != i[:-1])])] if len(order) else order
+    order = order[np.lexsort((ids[order], -scores[order], asks[order]))]
+    a = asks[order]
+    rank = np.arange(len(a)) - np.searchsorted(a, a)
+    return order[rank < k], rank[rank < k]
 
 
 def top_k(
@@ -191,77 +257,89 @@ def top_k(
     trees = trees.groupBy("dim", "region", "chunk").agg(
         F.collect_list(F.struct("vec_id", "v")).alias("rows")  # about tree_rows
     )
-    trees = materialise(trees, "trees")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norms, _ = shared.value
         for batch in batches:
             for row in range(batch.num_rows):
-                dim = batch.column("dim")[row].as_py()
-                rows, asks = batch.column("rows")[row].values, batch.column("asks")[row].values
+                dim, rows = batch.column("dim")[row].as_py(), batch.column("rows")[row].values
                 ids = rows.field("vec_id").to_numpy()
                 own = rows.field("v").flatten().to_numpy().reshape(len(ids), dim)
-                q_ids, limits = asks.field("vec_id").to_numpy(), asks.field("bound").to_numpy(zero_copy_only=False)
+                tree = MTree(_lift(own, norms[dim][0]), page)
+                lists = [ids[tree.order], own[tree.order].ravel(), *(getattr(tree, n).ravel() for n in MTree.KEPT)]
+                keys = [batch.column(n).slice(row, 1) for n in ("dim", "region", "chunk")]
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in lists]
+                yield pa.RecordBatch.from_arrays([*keys, *lists], ["dim", "region", "chunk", "ids", "v", *MTree.KEPT])
+
+    floats, whole = ("away", "objects", "radii", "apart"), ("child", "first", "last", "leaf")
+    shape = "dim int, region int, chunk int, ids array<bigint>, v array<bigint>"
+    shape += "".join(f", {n} array<double>" for n in floats) + "".join(f", {n} array<int>" for n in whole)
+    trees = materialise(trees.mapInArrow(build, shape), "trees")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        norms, _ = shared.value
+        for batch in batches:
+            for row in range(batch.num_rows):
+                dim, asks = batch.column("dim")[row].as_py(), batch.column("asks")[row].values
+                stored = {n: batch.column(n)[row].values.to_numpy() for n in ("ids", "v", *MTree.KEPT)}
+                ids, own = stored.pop("ids"), stored.pop("v").reshape(-1, dim)
+                tree = MTree.stored(dim + 1, **stored)
+                q_ids = asks.field("vec_id").to_numpy()
                 wanted = asks.field("v").flatten().to_numpy().reshape(len(q_ids), dim)
-                norm = norms[dim][0]
-                tree = MTree(_lift(own, norm), page)
-                out: list[tuple] = []
-                for q, x, bound in zip(q_ids, wanted, limits, strict=True):
-                    out += _search(tree, ids, own, int(q), x, float(bound), norm, k)
-                columns = list(zip(*out, strict=True)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"]
-                )
+                bounds = [pc.fill_null(asks.field(n), x).to_numpy() for n, x in zip(("bound", "bound_id"), NONE, strict=True)]
+                out = _search(tree, ids, own, q_ids, wanted, *bounds, norms[dim][0], k)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], ["query_id", "vec_id", "score"])
 
     def run(asks: DataFrame) -> DataFrame:
         """Each tree with the queries meant for it, in blocks."""
         part = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
         sizes = asks.groupBy("dim", "region", "chunk").agg(F.ceil(F.count("*") / block).alias("parts"))
         blocks = asks.join(sizes, ["dim", "region", "chunk"]).groupBy("dim", "region", "chunk", part.alias("part"))
-        blocks = blocks.agg(F.collect_list(F.struct("vec_id", "v", "bound")).alias("asks"))
-        return trees.join(blocks, ["dim", "region", "chunk"]).select("dim", "rows", "asks").mapInArrow(
-            search, "query_id long, vec_id long, score long"
-        )
+        blocks = blocks.agg(F.collect_list(F.struct("vec_id", "v", "bound", "bound_id")).alias("asks"))
+        met = trees.join(blocks, ["dim", "region", "chunk"]).select("dim", "ids", "v", *MTree.KEPT, "asks")
+        return met.mapInArrow(search, "query_id long, vec_id long, score long")
 
     # first the one tree that a query falls to: its k-th score bounds the rest
     first = asked.join(pieces, ["dim", "region"], "left")
     nearest = F.coalesce(F.col("chunks"), F.lit(0)) > 0
-    first = first.filter(nearest).withColumn("chunk", chunk).withColumn("bound", F.lit(float("-inf")))
-    near = materialise(run(first.select("vec_id", "v", "dim", "region", "chunk", "bound")), "near")
+    first = first.filter(nearest).withColumn("chunk", chunk)
+    unbound = [F.lit(None).cast("long").alias(n) for n in ("bound", "bound_id")]
+    near = materialise(run(first.select("vec_id", "v", "dim", "region", "chunk", *unbound)), "near")
     order = F.struct((-F.col("score")).alias("s"), "vec_id")
     # an id counts once, also if it or the query's id has several vectors
     own = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    bounds = own.groupBy(F.col("query_id").alias("vec_id")).agg(
-        F.sort_array(F.collect_list(F.col("score")), asc=False).alias("scores")  # at most k for each of its vectors
-    ).select("vec_id", F.get("scores", F.lit(k - 1)).alias("bound"))
+    bounds = own.groupBy("query_id").agg(
+        F.get(F.sort_array(F.collect_list(order)), F.lit(k - 1)).alias("last")  # at most k for each of its vectors
+    ).select(F.col("query_id").alias("vec_id"), (-F.col("last.s")).alias("bound"), F.col("last.vec_id").alias("bound_id"))
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The trees that may still hold something as good, but for the one that was searched."""
         norms, centres = shared.value
         for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                norm, dim, x = norms[r["dim"]][0], r["dim"], np.array(r["v"], np.float64)
-                limit = _limit(r["bound"], x, norm)
-                q = np.append(x, 0.0)
+            ids, region = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("vec_id", "region"))
+            dims = batch.column("dim").to_numpy(zero_copy_only=False)
+            done = pc.fill_null(batch.column("done"), -1).to_numpy(zero_copy_only=False)
+            bounds = pc.fill_null(batch.column("bound"), NONE[0]).to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims):
+                at = np.flatnonzero(dims == dim)
+                own = np.array(batch.column("v").take(pa.array(at)).flatten()).reshape(len(at), dim)
+                limits, q = _limits(bounds[at], own, norms[dim][0]), np.column_stack([own, np.zeros(len(at))])
                 for number, centre in enumerate(centres[dim]):
-                    if (dim, number) in regions:
-                        radius, chunks = regions[dim, number]
-                        if float(_distance(q, centre)) - radius <= limit:
-                            every = [(r["vec_id"], number, c) for c in range(chunks)]
-                            rows += [x for x in every if x[1:] != (r["region"], r["done"])]
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)],
-                ["vec_id", "region", "chunk"],
-            )
+                    if (dim, number) not in regions:
+                        continue
+                    radius, chunks = regions[dim, number]
+                    for c in range(chunks):
+                        some = (_distance(q, centre) - radius <= limits) & ~((region[at] == number) & (done[at] == c))
+                        n = int(some.sum())
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(ids[at[some]]), *(pa.array(np.full(n, x, np.int32)) for x in (number, c))],
+                            ["vec_id", "region", "chunk"],
+                        )
 
     known = asked.join(pieces, ["dim", "region"], "left").withColumn("done", F.when(nearest, chunk))
-    bound = F.coalesce(F.col("bound").cast("double"), F.lit(float("-inf")))
-    known = known.join(bounds, "vec_id", "left").withColumn("bound", bound).drop("away", "chunks")
+    known = known.join(bounds, "vec_id", "left").drop("away", "chunks")
     known = materialise(known, "bounds")
     more = known.mapInArrow(reach, "vec_id long, region int, chunk int")
-    rest = run(more.join(known.select("vec_id", "v", "dim", "bound"), "vec_id"))
+    rest = run(more.join(known.select("vec_id", "v", "dim", "bound", "bound_id"), "vec_id"))
     every = near.unionByName(rest).distinct().groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = F.slice(F.sort_array(F.collect_list(order)), 1, k)
     lists = every.groupBy("query_id").agg(best.alias("best"))
@@ -270,29 +348,47 @@ def top_k(
     )
 
 
-def _limit(bound: float, query: np.ndarray, norm: float) -> float:
-    """The distance at which the score is ``bound``, with room for rounding."""
-    if bound is None or bound == float("-inf"):
-        return float("inf")
-    square = float((query * query).sum()) + norm - 2.0 * (bound - 0.5)
-    return float(np.sqrt(max(0.0, square))) * (1 + 1e-9) + 1e-6
+#: Stands for no bound: every score and id is better.
+NONE = (np.iinfo(np.int64).min, np.iinfo(np.int64).max)
+
+
+def _limits(bounds: np.ndarray, queries: np.ndarray, norm: float) -> np.ndarray:
+    """The distances at which the scores are ``bounds``, with room for rounding."""
+    x = queries.astype(np.float64)
+    square = (x * x).sum(axis=1) + norm - 2.0 * (bounds.astype(np.float64) - 0.5)
+    limits = np.sqrt(np.maximum(0.0, square)) * (1 + 1e-9) + 1e-6
+    return np.where(bounds == NONE[0], np.inf, limits)
 
 
 def _search(
-    tree: MTree, ids: np.ndarray, rows: np.ndarray, query: int, x: np.ndarray, bound: float, norm: float, k: int
-) -> list[tuple]:
-    """(query, vec_id, score) of the k best of one tree, or of those not below the bound."""
-    best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    start = _limit(bound, x.astype(np.float64), norm)
-
-    def take(found: np.ndarray) -> float:
-        nonlocal best_ids, best
-        found = found[ids[found] != query]
-        all_ids = np.concatenate([best_ids, ids[found]])
-        scores = np.concatenate([best, rows[found] @ x])
-        keep = _best(all_ids, scores, k)
-        best_ids, best = all_ids[keep], scores[keep]
-        return min(start, _limit(float(best[-1]), x.astype(np.float64), norm)) if len(best) == k else start
-
-    tree.search(np.append(x.astype(np.float64), 0.0), start, take)
-    return [(query, int(i), int(s)) for i, s in zip(best_ids, best, strict=True)]
+    tree: MTree, ids: np.ndarray, rows: np.ndarray, q_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray,
+    bound_ids: np.ndarray, norm: float, k: int,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vec_id, score) of the k best of one tree for each query, without those behind the query's bound."""
+    kth, kth_id = bounds.copy(), bound_ids.copy()
+    limits = _limits(kth, queries, norm)
+    # whole numbers are exact as doubles up to 2^53, and doubles multiply faster
+    most = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1]
+    left, right = (queries.astype(np.float64), rows.astype(np.float64)) if most < 2.0**53 else (queries, rows)
+    held = [np.zeros(0, np.int64)] * 3
+
+    def take(who: np.ndarray, places: np.ndarray) -> None:
+        scores = (left[who] @ right[places].T).astype(np.int64)
+        near, own = ids[places], kth[who][:, None]
+        good = (scores > own) | ((scores == own) & (near <= kth_id[who][:, None]))
+        good &= near != q_ids[who][:, None]
+        w, p = np.nonzero(good)
+        if not len(w):
+            return
+        touched = np.zeros(len(q_ids), bool)
+        touched[who[w]] = True
+        mine = touched[held[0]]
+        new = [np.concatenate([h[mine], x]) for h, x in zip(held, (who[w], near[p], scores[good]), strict=True)]
+        keep, rank = _best(*new, k)
+        last = keep[rank == k - 1]
+        held[:] = [np.concatenate([h[~mine], x[keep]]) for h, x in zip(held, new, strict=True)]
+        full, kth[new[0][last]], kth_id[new[0][last]] = new[0][last], new[2][last], new[1][last]
+        limits[full] = np.minimum(limits[full], _limits(kth[full], queries[full], norm))
+
+    tree.walk(np.column_stack([queries.astype(np.float64), np.zeros(len(queries))]), limits, take)
+    return q_ids[held[0]], held[1], held[2]
