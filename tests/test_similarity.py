@@ -249,3 +249,56 @@ def test_norms_of_any_size_are_bounded(spark):
     x = np.array([np.float32(r[2]) for r in rows], dtype=np.float64)
     pairs = {(a, b) for a, b in zip(*np.nonzero(np.triu(x @ x.T >= 2.0, 1)), strict=True)}
     assert {(r.seq_a, r.seq_b) for r in si.similar_pairs(si.block_vectors(vec, 8), 2.0).collect()} == pairs
+
+
+@pytest.mark.parametrize("block_rows,tile_rows", [(7, 25)])
+def test_tiles_of_blocks_change_nothing(vec, monkeypatch, block_rows, tile_rows):
+    monkeypatch.setattr(si, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(si, "AT_ONCE", 64)
+    test_scan_equals_brute_force(vec, block_rows, 4)
+    test_clusters_and_review_scores_equal_brute_force(vec, block_rows)
+
+
+def test_small_blocks_send_rows_by_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(900, 8)).astype(np.float32)
+    vec = spark.createDataFrame([("b", i, v.tolist()) for i, v in enumerate(x)], "business string, seq long, vector array<float>")
+    monkeypatch.setattr(si, "TILE_ROWS", 300)
+    sent, cells = [], si._cross_cells
+
+    def counted(rows, tiles):
+        sent.append(cells(rows, tiles))
+        return sent[-1]
+
+    monkeypatch.setattr(si, "_cross_cells", counted)
+    near = si.neighbours(si.block_vectors(vec, 10), 5, 0.5, [0.5])
+    # nothing can be left out here, yet a row goes to about four tiles, not to ninety blocks
+    assert sent[0].count() <= 900 * 5
+    assert near.count() <= 900 * 6
+    exact = x.astype(float) @ x.T.astype(float)
+    np.fill_diagonal(exact, -np.inf)
+    assert si.mean_topk(near, 5).first().mean_topk == pytest.approx(np.sort(exact, axis=1)[:, -5:].mean())
+
+
+def test_a_cell_holds_few_similarities_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, dims = 3000, 8
+    x = np.random.default_rng(2).normal(size=(n, dims)).astype(np.float32)
+    table = pa.table(
+        {
+            "business": ["b"] * n, "rep": np.arange(n), "w": np.ones(n, np.int64), "n": np.full(n, n),
+            "vector": pa.array(list(x), pa.list_(pa.float32())), "block": np.zeros(n, np.int32), "tile": np.zeros(n, np.int32),
+            "core_0": np.arange(n) % 2 == 0,
+        }
+    )
+    key = (pa.scalar("b"), pa.scalar(0), pa.scalar(0))
+    tracemalloc.start()
+    si._neighbour_cell(5, 0.5, [0.5])(table)
+    assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    tracemalloc.reset_peak()
+    si._cluster_cell([0.5])(key, table)
+    assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    tracemalloc.stop()
