@@ -172,3 +172,11 @@ def test_dedup_is_idempotent_and_layout_free(spark):
     assert found[0] == found[1] == found[2] and len(found[0]) == 8
     once = balance.dedup_first(df, ["k"])
     assert sorted(map(tuple, balance.dedup_first(once, ["k"]).collect()), key=repr) == found[0]
+
+
+def test_model_output_is_read_once_a_row(spark):
+    df = spark.createDataFrame([("so {\"advertisement\": true}",)], "t string")
+    found = df.select(tx.parse_model_output("t").alias("p")).select("p.*")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1
+    assert tuple(found.first()) == (False, True, False)
