@@ -217,7 +217,9 @@ def report_sink(spark, sf):
 )
 def prediction_sink(spark, sf):
     path = scratch_path(spark, "predictions")
-    write_table(predictions(spark, sf).withColumn("pred", threshold_probs("probs", 0.5)), path, "json")
+    # a row of JSON is mostly names and digits: as plain text the sink is several times its input
+    scored_rows = predictions(spark, sf).withColumn("pred", threshold_probs("probs", 0.5))
+    write_table(scored_rows, path, "json", compression="gzip")
     schema = "model string, sample_id string, probs array<double>, pred array<int>"
     found = read_table(spark, path, T._parse_datatype_string(schema), "json")
     total = F.aggregate("probs", F.lit(0.0), lambda a, p: a + p)

@@ -13,8 +13,9 @@ def write_table(
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
     mode: str = "errorifexists",
+    compression: str | None = None,
 ) -> None:
-    """One sink for every flat output. CSV gets nested columns as JSON text."""
+    """One sink for every flat output. CSV gets nested columns as JSON text. Readers know a compression by file names."""
     if fmt == "csv":
         df = df.select(
             *[
@@ -36,6 +37,8 @@ def write_table(
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
+    if compression:
+        writer = writer.option("compression", compression)
     writer.format(fmt).save(path)
 
 
