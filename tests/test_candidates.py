@@ -87,3 +87,21 @@ def test_crowded_buckets_are_split(spark, monkeypatch):
 
 def test_no_rows(spark):
     assert candidates.near_duplicates(spark.createDataFrame([], "seq long, text string")).collect() == []
+
+
+def test_shingles_are_written_once_and_sent_only_where_needed(spark, monkeypatch):
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(200)]
+    texts += [(500, texts[7][1] + " more"), (501, texts[7][1])]
+    written = {}
+
+    def recording(df, name="frame", keep=candidates.materialise):
+        out = keep(df, name)
+        written.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(candidates, "materialise", recording)
+    df = spark.createDataFrame(texts, "seq long, text string")
+    found = {r.seq: (r.cluster, r.copies) for r in candidates.near_duplicates(df).collect()}
+    assert found[500] == (7, 1) and found[501] == found[7] == (7, 2) and found[8] == (8, 1)
+    holders = [f for frames in written.values() for f in frames if "shingles" in f.columns]
+    assert [f.count() for f in holders] == [201, *[2 for _ in holders[1:]]]
