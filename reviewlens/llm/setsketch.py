@@ -29,6 +29,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, 65534
 LEAST_ESTIMATE = 0.62
 #: Rows of a block, and columns of the matrices whose products compare two blocks.
 BLOCK, CELL_COLUMNS = 2048, 2048
+#: Bits for each document that is read again in the map of these, and bits of the largest map (8 MB).
+MAP_BITS, LARGEST_MAP = 16, 1 << 26
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -144,16 +146,25 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(n).filter(kept) for n in ("a", "b")], ["a", "b"])
 
 
+def _mapped(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a doc_id of ``wanted``, and few others: one in MAP_BITS, more beyond the largest map.
+
+    The map has a bit for each hash of a doc_id and is broadcast as words of 64 bits, so no text is shuffled.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(min(LARGEST_MAP, max(64, wanted.count() * MAP_BITS))))
+    word, bit = F.expr("_place div 64"), F.expr("cast(_place % 64 as int)")
+    words = wanted.withColumn("_place", place).groupBy(word.alias("_word"))
+    words = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    placed = docs.withColumn("_place", place).withColumn("_word", word).join(F.broadcast(words), "_word")
+    return placed.filter(F.getbit("_bits", bit) == 1).select(*docs.columns)
+
+
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 4 << 20):
         members, heads = shingle_sets(batch.column("text"))
-        k1, k2 = (k.to_numpy() for k in _keys(members, heads))
-        # a doc_id that rows share may stand for another set
-        own = (k1 == batch.column("k1").to_numpy()) & (k2 == batch.column("k2").to_numpy())
-        own &= np.diff(heads) == batch.column("n").to_numpy()
         sets = pa.ListArray.from_arrays(pa.array(heads, pa.int32()), pa.array(members.view(np.int64)))
-        columns = [batch.column("rep").filter(pa.array(own)), sets.filter(pa.array(own))]
-        yield pa.RecordBatch.from_arrays(columns, ["rep", "members"])
+        columns = [*_keys(members, heads), pa.array(np.diff(heads)), sets]
+        yield pa.RecordBatch.from_arrays(columns, ["k1", "k2", "n", "members"])
 
 
 def _sides(key: tuple, table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -272,7 +283,8 @@ def classes(docs: DataFrame, same_id: bool = True) -> DataFrame:
 
     Equal sets are one representative from the start, so copies cost nothing beyond their own row. In each
     bucket every member meets the first one; what is in a bucket with another component after that meets it block
-    by block. Texts are read a second time, once, for sets that share a bucket. No bucket is capped or held by one
+    by block. Texts are read a second time, once, for sets that share a bucket, and become sets where they are read:
+    a shuffle moves the sets that share a bucket, never a text. No bucket is capped or held by one
     task, and no pair of members becomes a row but those with the first.
     """
     schema = "doc_id long, key binary, n long, k1 long, k2 long, registers binary"
@@ -288,9 +300,11 @@ def classes(docs: DataFrame, same_id: bool = True) -> DataFrame:
     members = materialise(members.select("bucket", "rep", "n", "first"), "members")
 
     wanted = sets.join(members.select("rep").distinct(), "rep").select("doc_id", "rep", *names)
-    full = docs.select("doc_id", "text").join(materialise(wanted, "wanted"), "doc_id")
-    full = full.select("text", "rep", *names).mapInArrow(_full, "rep long, members array<long>")
-    full = materialise(full.dropDuplicates(["rep"]), "sets")
+    wanted = materialise(wanted, "wanted")
+    full = _mapped(docs.select("doc_id", "text"), wanted).select("text")
+    # a row that is not wanted, or has another text than its doc_id's wanted one, goes by the name of its set
+    full = full.mapInArrow(_full, "k1 long, k2 long, n long, members array<long>").dropDuplicates(names)
+    full = materialise(full.join(wanted, names).select("rep", "members"), "sets")
     links = _links_of_stars(members, sets, full)
     if same_id:
         several = named.groupBy("doc_id").agg(*[f(k).alias(f"{f.__name__}_{k}") for f in (F.min, F.max) for k in names])

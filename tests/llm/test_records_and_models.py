@@ -1,6 +1,8 @@
 """WARC, chat, language model, near-duplicates, token counts, BPE and the pipeline."""
 
+import contextlib
 import hashlib
+import io
 import math
 import random
 import re
@@ -172,6 +174,45 @@ def test_components_of_a_doc_id_with_two_texts(spark):
     assert found == {(5, 4), (7, 4), (9, 4), (4, 4), (11, 11)}
 
 
+def test_near_duplicates_shuffle_no_text(spark, monkeypatch):
+    plans, write = [], setsketch.materialise
+
+    def noted(df, name="frame"):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain("formatted")
+        plans.append(plan.getvalue())
+        return write(df, name)
+
+    monkeypatch.setattr(setsketch, "materialise", noted)
+    r = random.Random(4)
+    words = [f"w{k}" for k in range(300)]
+    docs = [(k, " ".join(r.choice(words) for _ in range(40))) for k in range(150)]
+    docs += [(200 + k, docs[k][1] + " tail") for k in range(40)]
+    docs += [(k, t.upper() + "\n") for k, t in docs[:5]] + [(None, docs[7][1]), (None, "x y"), (300, None)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if every table were large
+    try:
+        found = [tuple(x) for x in setsketch.cluster(spark.createDataFrame(docs, DOC)).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert set(found) == brute_components([x for x in docs if x[0] is not None]) | {(None, 37, None, False), (None, 1, None, False)}
+    assert len(found) == len(docs) and len(plans) > 9
+    assert not [p for p in plans if re.search(r"Exchange\s+Input \[\d+\]: \[[^\]]*\btext#", p)]
+
+
+@pytest.mark.parametrize("largest", [1 << 26, 64])
+def test_map_of_documents_loses_none(spark, monkeypatch, largest):
+    monkeypatch.setattr(setsketch, "LARGEST_MAP", largest)
+    docs = spark.range(-3000, 3000).selectExpr("id as doc_id", "string(id) as text").unionByName(
+        spark.createDataFrame([(None, "a"), (50, "b")], DOC)
+    )
+    wanted = spark.range(-3000, 3000, 50).selectExpr("id as doc_id")
+    found = [tuple(x) for x in setsketch._mapped(docs, wanted).collect()]
+    assert {(k, str(k)) for k in range(-3000, 3000, 50)} | {(50, "b")} <= set(found)
+    assert len(found) == len(set(found)) and (largest == 64 or len(found) < 1000)
+    assert setsketch._mapped(docs, wanted.limit(0)).isEmpty()
+
+
 def _joined(a, b, names):
     name = {int(x): int(x) for x in names}
     for x, y in zip(a, b, strict=True):
