@@ -22,6 +22,8 @@ SAMPLE_CHARS, SAMPLE_TEXTS, EXCERPT = 20_000, 200, 500
 LETTERS = 62
 #: Parsing starts afresh after so many symbols, so that long texts are parsed side by side.
 LANE = 1024
+#: Bytes of text that are looked at once.
+PIECE = 1 << 19
 
 
 def symbols(samples: list[str]) -> np.ndarray:
@@ -169,9 +171,10 @@ def learn(
     if not sizes:
         return {}
     share = 1 << 30
-    drawn = spark.createDataFrame(
-        [(r.lang, min(share, -(-share * sample_texts // max(1, r.n)))) for r in sizes], "lang string, below long"
-    )
+    # from an Arrow table: a list would start Python workers on the executors only to be pickled again
+    below = [min(share, -(-share * sample_texts // max(1, r.n))) for r in sizes]
+    drawn = pa.table([pa.array([r.lang for r in sizes], pa.string()), pa.array(below, pa.int64())], ["lang", "below"])
+    drawn = spark.createDataFrame(drawn)
     picked = rows.join(F.broadcast(drawn), "lang").filter(F.pmod("h", F.lit(share)) < F.col("below"))
     # an excerpt begins anywhere in its text
     last = F.greatest(F.length("text") - excerpt, F.lit(0)).cast("long")
@@ -201,7 +204,7 @@ def identify(docs: DataFrame, samples: dict[str, str], text: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
-        for batch in pieces(batches, text, 4 << 20):
+        for batch in pieces(batches, text, PIECE):
             names, score = parser(batch.column(text))
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "lang_pred", "lang_score"])

@@ -16,7 +16,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -211,8 +211,10 @@ def frequent_words(docs: DataFrame, vocabulary: bytes, text: str = "text", words
     bounded lexicon reach the driver.
     """
 
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(vocabulary))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = _vocabulary(vocabulary).segments
+        split = shared.value.vocabulary.segments
         for batch in pieces(batches, "text", 16 << 20):
             found: Counter = Counter()
             for x in batch.column("text").to_pylist():
@@ -241,7 +243,7 @@ class Encoder:
     """Encodes and decodes texts in one task, remembering the first MEMO words it meets."""
 
     def __init__(self, vocabulary: bytes, lexicon: bytes):
-        self.vocabulary, self.lexicon = _vocabulary(vocabulary), Lexicon(lexicon)
+        self.vocabulary, self.lexicon = Vocabulary(vocabulary), Lexicon(lexicon)
         self.memo: dict[str, tuple[bytes, str]] = {}
 
     def word(self, word: str) -> tuple[bytes, str]:
@@ -262,10 +264,26 @@ class Encoder:
         return b"".join([ids for ids, _ in parts]), " ".join([t for _, t in parts if t])
 
 
-@lru_cache(maxsize=1)
-def _encoder(vocabulary: bytes, lexicon: bytes) -> Encoder:
-    """One encoder for the tasks that a worker runs one after another."""
-    return Encoder(vocabulary, lexicon)
+class Shared:
+    """Files that are broadcast, and what a worker makes of them once for the tasks that it runs one after another.
+
+    A worker forgets a broadcast when it gets a task that doesn't use it, and with it the words remembered here. Kept by the
+    module they would stay beside the memory of every later stage.
+    """
+
+    def __init__(self, vocabulary: bytes, lexicon: bytes = b""):
+        self.files = vocabulary, lexicon
+
+    def __reduce__(self):
+        return Shared, self.files
+
+    @cached_property
+    def vocabulary(self) -> Vocabulary:
+        return Vocabulary(self.files[0])
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(*self.files)
 
 
 @lru_cache(maxsize=1)
@@ -286,10 +304,10 @@ def encode(docs: DataFrame, vocabulary: bytes, lexicon: bytes, text: str = "text
     """
     kept = [f for f in docs.schema.fields if f.name not in (text, "ids", "n_tokens", "decoded")]
     names = [f.name for f in kept]
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(vocabulary, lexicon))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(*shared.value)
+        encoder = shared.value.encoder
         for batch in pieces(batches, "_text", 4 << 20):
             found = [encoder(x or "") for x in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -31,6 +31,8 @@ LEAST_ESTIMATE = 0.62
 BLOCK, CELL_COLUMNS = 2048, 2048
 #: Bits for each document that is read again in the map of these, and bits of the largest map (8 MB).
 MAP_BITS, LARGEST_MAP = 16, 1 << 26
+#: Bytes of text that are looked at once.
+PIECE = 1 << 20
 _FACTORS = mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -110,7 +112,7 @@ def _keys(members: np.ndarray, heads: np.ndarray) -> list[pa.Array]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "text", 4 << 20):
+    for batch in pieces(batches, "text", PIECE):
         members, heads = shingle_sets(batch.column("text"))
         rows = pa.array([r.tobytes() for r in registers(members, heads)], pa.binary())
         yield pa.RecordBatch.from_arrays(
@@ -160,7 +162,7 @@ def _mapped(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "text", 4 << 20):
+    for batch in pieces(batches, "text", PIECE):
         members, heads = shingle_sets(batch.column("text"))
         sets = pa.ListArray.from_arrays(pa.array(heads, pa.int32()), pa.array(members.view(np.int64)))
         columns = [*_keys(members, heads), pa.array(np.diff(heads)), sets]

@@ -34,7 +34,7 @@ SECOND_PERSON = (
 #: Words between a hit and the person addressed.
 NEAR = 5
 #: Bytes of text that are looked at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 FEATURES = (
     "density", "hits", "kinds", "hidden", "addressed", "capitals", "shouted", "exclaimed", "punctuation", "mixed", "digits", "words",
 )
