@@ -609,6 +609,32 @@ def _across_cells(links: DataFrame, cores: DataFrame, borders: DataFrame, levels
     return named.unionByName(followed)
 
 
+def clustered_reviews(
+    vec: DataFrame, blocks: DataFrame, near: DataFrame, clusters: DataFrame, level: int, threshold: float, min_samples: int
+) -> DataFrame:
+    """(business, seq, cluster) of every clustered review at one level of ``clusters``: copies follow their vector.
+
+    Copies of a vector too short to be similar to itself are not next to each other: without another core beside
+    them, each is a cluster of its own. A seq that comes twice with one vector is one row.
+    """
+    placed = clusters.filter(F.col("level") == level).select("business", "rep", "cluster")
+    copied = blocks.filter("w > 1").select("business", "vector", "rep", "w", (dot("vector", "vector") < threshold).alias("_apart"))
+    met = placed.join(copied, ["business", "rep"])
+    # a cluster is named after its lowest core, so only these can be lone ones
+    alone = met.filter("_apart AND cluster = rep").select("business", "cluster")
+    degrees = near.groupBy("business", "rep").agg(F.sum(f"near_{level}").alias("_near"))
+    cores = degrees.filter(F.col("_near") + 1 >= min_samples).select("business", "rep")
+    held = placed.join(alone, ["business", "cluster"], "left_semi").join(cores, ["business", "rep"])
+    lone = held.groupBy("business", "cluster").agg((F.count("*") == 1).alias("_lone"))
+    met = met.join(lone, ["business", "cluster"], "left")
+    own = F.col("_apart") & (F.col("cluster") == F.col("rep")) & F.coalesce("_lone", F.lit(False))
+    met = met.select("business", "vector", "rep", "cluster", own.alias("_own"), "w")
+    copies = join_heavy(vec.select("business", F.col("seq").cast("long").alias("seq"), "vector"), met, ["business", "vector"], "w", "seq")
+    cluster = F.when(F.col("_own"), F.col("seq")).otherwise(F.col("cluster")).alias("cluster")
+    others = copies.filter("seq != rep").select("business", "seq", cluster).distinct()
+    return placed.withColumnRenamed("rep", "seq").unionByName(others)
+
+
 def dot(a: Column | str, b: Column | str) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda acc, v: acc + v)

@@ -302,3 +302,24 @@ def test_a_cell_holds_few_similarities_at_once():
     si._cluster_cell([0.5])(key, table)
     assert tracemalloc.get_traced_memory()[1] < 30 << 20
     tracemalloc.stop()
+
+
+def test_every_review_of_every_business_is_clustered(spark, tmp_path):
+    """Copies, businesses of fewer than five reviews, and copies too short to be similar to themselves."""
+    duckdb = pytest.importorskip("duckdb")
+    from reviewlens.plans import catalog
+
+    rows = [(1, k, [1.0, 0.0, 0.0]) for k in (5, 3, 4)] + [(1, 9, [0.9, 0.1, 0.0]), (1, 8, [0.0, 1.0, 0.0])]
+    rows += [(2, 20 + k, [0.0, 0.6, 0.8]) for k in range(3)] + [(3, 30, [1.0, 0.0, 0.0]), (3, 31, [1.0, 0.0, 0.0])]
+    # 41 and 42 are 0.16 like themselves, but next to 43 and 44, which are no cores
+    rows += [(4, 41, [0.4, 0.0, 0.0]), (4, 42, [0.4, 0.0, 0.0]), (4, 43, [0.7, 0.9, 0.0]), (4, 44, [0.7, -0.9, 0.0])]
+    rows += [(5, 50 + k, [0.4, 0.0, 0.0]) for k in range(2)] + [(5, 53 + k, [1.0, 0.3 * k, 0.0]) for k in range(3)]
+    rows += [(None, 60, [1.0, 0.0, 0.0]), (6, 70, None), (1, 3, [1.0, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "label int, vec_id long, embedding array<float>")
+    table.repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = catalog.QUERIES["m5_density_clusters"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.sql(catalog.ORACLES["m5_density_clusters"]).fetchall()
+    assert sorted(map(tuple, found.select("seq", "cluster").collect())) == sorted(want)
+    assert {r[0] for r in want} >= {3, 4, 5, 9, 20, 21, 22, 41, 42, 50, 51}
