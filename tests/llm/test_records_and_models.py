@@ -9,6 +9,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,6 +294,68 @@ def test_predictions_of_a_context_add_up(spark):
         assert p.sum() < 1 and abs(p.sum() + s.leaf(0, 0, u, s.middle(0, 0, u >> 8, rest[0])) - 1) < 1e-9
 
 
+def test_a_context_is_the_whole_word_before(spark):
+    """Words that end alike are told apart, and predictions after each of them add up."""
+    learned = spark.createDataFrame([(k, "great cat" if k % 2 else "treat dog") for k in range(400)], DOC)
+    model = hpylm.fit(learned)
+    asked = [(k, t, True) for k, t in enumerate(("great cat", "great dog", "treat dog", "treat cat", "other cat"))]
+    found = {r.doc_id: r.score for r in hpylm.score(spark.createDataFrame(asked, DOC + ", held_out boolean"), model).collect()}
+    assert found[0] - found[1] > 1 and found[2] - found[3] > 1 and found[0] > found[4]
+    row = model.state.collect()[0].asDict()
+    b, s = hpylm.Bucket(row), model.samples[-1]
+    customers, tables = hpylm._ints(row["after"], "u8"), hpylm._ints(row["after_tables"][-1], "u8")
+    t3, (t2, t1, t0) = b.seats(-1), b.sample(-1)
+    c1, p0, rest = b.below(t2), s.root(b.root_customers(t1), t0), s.root(np.zeros(1), np.zeros(1))[0]
+    assert len(b.own) == 5 and customers.sum() == 1200 and tables.sum() == t3.sum()
+    for u, key in enumerate(b.own):
+        end, total = int(key) >> 48, 0.0
+        for w in [*range(len(b.words)), None]:
+            at = lambda names, mine, x: sum(x[k] for k in np.flatnonzero((names == w) & mine)) if w is not None else 0  # noqa: B023, E731
+            p1 = s.middle(at(b.parent_word, b.parent == end >> 8, c1), at(b.parent_word, b.parent == end >> 8, t1), end >> 8, rest if w is None else p0[w])
+            p2 = s.leaf(at(b.word, b.context == end, b.c), at(b.word, b.context == end, t2), end, p1)
+            total += s.word(at(b.pair_word, b.at == u, b.n), at(b.pair_word, b.at == u, t3), customers[u], tables[u], p2)
+        assert abs(total - 1) < 1e-9
+
+
+def test_scores_follow_from_the_state_of_all_buckets(spark):
+    """Many buckets, homes and rounds: each token's probability from totals added up here, also in contexts of other buckets."""
+    r = random.Random(4)
+    words = ["w%d" % k for k in range(60)] + ["é", "Ab", "ab"]
+    docs = [(k, " ".join(r.choice(words[: 20 + k % 44]) for _ in range(r.randint(0, 40)))) for k in range(300)]
+    learned = spark.createDataFrame(docs, DOC).repartition(3)
+    model = hpylm.fit(learned, bucket_bytes=300)
+    assert model.buckets > 2 * hpylm.PER_ROUND
+    seen, totals = [{} for _ in range(4)], [[{}, {}] for _ in model.samples]
+    for row in model.state.collect():
+        b = hpylm.Bucket(row.asDict())
+        for k in range(len(model.samples)):
+            t3, (t2, t1, t0) = b.seats(k), b.sample(k)
+            for name, x, y, level in (
+                (zip(b.words[b.pair_word], b.own[b.at]), b.n, t3, 0), (zip(b.words[b.word], b.context), b.endings(t3), t2, 1),
+                (zip(b.words[b.parent_word], b.parent), b.below(t2), t1, 2), (((w,) for w in b.words), b.root_customers(t1), t0, 3),
+            ):
+                for key, c, t in zip(name, x, y):
+                    seen[level].setdefault((k, *map(int, key)), (int(c), int(t)))
+            for u, c, t in zip(b.own[b.at], b.n, t3):
+                for table, x in zip(totals[k], (c, t)):
+                    table[int(u)] = table.get(int(u), 0) + int(x)
+    asked = docs + [(1000 + k, f"w{k % 60} w{k % 7} new{k} w{k % 60} Ab") for k in range(100)]
+    found = hpylm.score(spark.createDataFrame([(*d, False) for d in asked], DOC + ", held_out boolean"), model).collect()
+    texts = dict(asked)
+    assert len(found) == len(asked)
+    for x in found:
+        out, context, _ = hpylm.tokens(pa.array([texts[x.doc_id]]))
+        want = 0.0
+        for w, u in zip(out.tolist(), context.tolist()):
+            p, end = 0.0, u >> 48
+            for k, s in enumerate(model.samples):
+                get = lambda level, *key: seen[level].get((k, w, *key), (0, 0))  # noqa: B023, E731
+                p1 = s.middle(*get(2, end >> 8), end >> 8, s.root(*get(3)))
+                p += s.word(*get(0, u), totals[k][0].get(u, 0), totals[k][1].get(u, 0), s.leaf(*get(1, end), end, p1))
+            want += math.log10(p / len(model.samples))
+        assert abs(x.score - want) < 1e-9
+
+
 def test_seating_has_the_right_distribution():
     """Many customers of one dish, alone in a restaurant: tables as the Stirling numbers say."""
     d, p, c, n = 0.5, 0.3, 4, 40_000
