@@ -323,3 +323,33 @@ def test_every_review_of_every_business_is_clustered(spark, tmp_path):
     want = con.sql(catalog.ORACLES["m5_density_clusters"]).fetchall()
     assert sorted(map(tuple, found.select("seq", "cluster").collect())) == sorted(want)
     assert {r[0] for r in want} >= {3, 4, 5, 9, 20, 21, 22, 41, 42, 50, 51}
+
+
+@pytest.mark.parametrize("kind", ["spread", "alike", "zeros", "short", "undefined"])
+def test_nearest_and_heavier_equal_sorting_all(kind):
+    rng = np.random.default_rng(2)
+    sims = rng.normal(size=(9, 50 if kind == "short" else 1111))
+    if kind == "alike":
+        sims = np.round(sims, 1)
+    if kind == "zeros":
+        sims[sims < 2.5] = 0
+    if kind == "undefined":
+        sims[3, 40] = np.nan
+    sims[2, 5] = -np.inf
+    w = rng.integers(1, 9, sims.shape[1])
+    got = np.take_along_axis(sims, si._nearest(sims, 5), 1)
+    keep = np.ones(len(sims), bool) if kind != "undefined" else ~np.isnan(sims).any(axis=1)
+    assert (np.sort(got, 1)[keep] == np.sort(sims, 1)[:, -5:][keep]).all()
+    for low in (2.5, -1.0):
+        want = [(sims > low) @ w, (sims >= low + 0.1) @ w]
+        assert all((a == b).all() for a, b in zip(si._heavier(sims, w, low, [low + 0.1]), want, strict=True))
+
+
+def test_a_cell_sorts_few_similarities(monkeypatch):
+    """Most similarities are only compared, none of them sorted or partitioned with its whole row."""
+    cut, partition = [], np.argpartition
+    monkeypatch.setattr(np, "argpartition", lambda *a, **b: cut.append(a[0].size) or partition(*a, **b))
+    x = np.random.default_rng(1).normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    si._nearest(x[:200] @ x.T, 5)
+    assert not cut
